@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATORS = "[,、，;；]"
@@ -14,6 +14,7 @@ TRUE_WORDS = ("true", "t", "yes", "y", "1", "はい")
 FALSE_WORDS = ("false", "f", "no", "n", "0", "いいえ")
 FULL_WIDTH_DIGITS = "０１２３４５６７８９．－"
 ASCII_DIGITS = "0123456789.-"
+MAX_BANDS = 200
 
 
 def strip(text: Column) -> Column:
@@ -85,6 +86,26 @@ def band(value: Column, edges: Sequence[float], codes: Sequence[str]) -> Column:
     return out.otherwise(codes[-1])
 
 
+def bands_of(table: DataFrame) -> list[tuple[float, float, str]]:
+    """Read a (low, high, code) band table, refusing one that is no band list."""
+    rows = table.select("low", "high", "code").orderBy("low").limit(MAX_BANDS + 1).collect()
+    if len(rows) > MAX_BANDS:
+        raise ValueError(f"more than {MAX_BANDS} bands")
+    for a, b in zip(rows, rows[1:]):
+        if b["low"] < a["high"]:
+            raise ValueError(f"bands {a['code']!r} and {b['code']!r} overlap")
+    return [(r["low"], r["high"], r["code"]) for r in rows]
+
+
+def band_from(value: Column, bands: Sequence[tuple[float, float, str]]) -> Column:
+    """The code of the band with low <= value < high; NULL in a gap. A band list is short, so it is
+    written into the query and needs no range join."""
+    out = F.lit(None).cast("string")
+    for low, high, code in reversed(bands):
+        out = F.when((value >= low) & (value < high), code).otherwise(out)
+    return out
+
+
 def rank_of(code: Column, order: Sequence[str]) -> Column:
     """Place of a code in its documented order, from 1; NULL for an unknown code."""
     place = F.array_position(F.array(*[F.lit(c) for c in order]), code)

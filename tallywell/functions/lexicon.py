@@ -113,14 +113,23 @@ def score_array(sums: dict[str, Column], labels: Sequence[str]) -> Column:
 
 
 def best_label(scores: Column) -> Column:
-    """struct<label, score, confidence> of the top label; NULL where nothing scored."""
+    """struct<label, score, confidence> of the top label; its fields are NULL where nothing scored."""
     top = F.array_max(scores)
     total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s["score"].cast("double"))
-    return F.when(
-        top["score"] > 0,
-        F.struct(
-            top["label"].alias("label"),
-            top["score"].alias("score"),
-            F.try_divide(top["score"].cast("double"), total).alias("confidence"),
-        ),
+    scored = top["score"] > 0
+    return F.struct(
+        F.when(scored, top["label"]).alias("label"),
+        F.when(scored, top["score"]).alias("score"),
+        F.when(scored, F.try_divide(top["score"].cast("double"), total)).alias("confidence"),
     )
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are costly to work out, so that each is worked out once per row.
+
+    A plain projection would be copied into every filter on its result. A generator of exactly one
+    row is not: filters on other columns still pass it on their way to the scan, those on its own
+    output stay above it.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

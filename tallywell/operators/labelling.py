@@ -4,38 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.functions.lexicon import Lexicon, best_label, score_array
+from tallywell.functions.lexicon import Lexicon, best_label, once, score_array
 from tallywell.functions.text import sentences
 from tallywell.schema import CATEGORIES
 
 
 def extract(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_comment") -> DataFrame:
     """Add the distinct sentences that hold a term, in text order, as an array."""
-    return df.withColumn(out, F.array_distinct(lexicon.phrases(sentences(F.col(text)))))
+    return once(df, **{out: F.array_distinct(lexicon.phrases(sentences(F.col(text))))})
 
 
 def classify(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_comment") -> DataFrame:
     """Add ``{out}_category`` and ``{out}_confidence``; both are NULL without a hit.
 
-    A narrow projection. Hits and scores are columns of their own so that each is worked out once
-    per row although the scores are read several times.
+    A narrow projection: no join and no exchange.
     """
     columns = [F.col(c) for c in df.columns]
-    return (
-        df.withColumn("_hits", lexicon.hits(F.col(text)))
-        .withColumn("_scores", lexicon.scores(F.col("_hits")))
-        .withColumn("_best", best_label(F.col("_scores")))
-        .select(
-            *columns,
-            F.col("_best.label").alias(f"{out}_category"),
-            F.col("_best.confidence").alias(f"{out}_confidence"),
-        )
+    return _scored(df, lexicon.hits(F.col(text)), lexicon.scores(F.col("_hits"))).select(
+        *columns,
+        F.col("_best.label").alias(f"{out}_category"),
+        F.col("_best.confidence").alias(f"{out}_confidence"),
     )
 
 
+def _scored(df: DataFrame, hits: Column, scores: Column) -> DataFrame:
+    """Add ``_hits``, ``_scores`` over them and the ``_best`` label."""
+    df = df.withColumn("_hits", hits).withColumn("_scores", scores)
+    return once(df, _best=best_label(F.col("_scores")))
+
+
 def enrich(
     df: DataFrame, positive: Lexicon, negative: Lexicon, scene: Lexicon, text: str = "free_comment"
 ) -> DataFrame:
@@ -54,7 +54,7 @@ def feedback_rows(
 
     (id, polarity 1 / -1, phrase_no in text order, phrase, label, score of that label)
     """
-    def numbered(lexicon: Lexicon, polarity: int):
+    def numbered(lexicon: Lexicon, polarity: int) -> Column:
         return F.transform(
             lexicon.phrases(F.col("_sentences")),
             lambda s, i: F.struct(
@@ -62,18 +62,18 @@ def feedback_rows(
             ),
         )
 
-    is_positive = F.col("_p.polarity") == 1
-    return (
+    def by_polarity(of_positive: Column, of_negative: Column) -> Column:
+        return F.when(F.col("_p.polarity") == 1, of_positive).otherwise(of_negative)
+
+    phrase, hits = F.col("_p.phrase"), F.col("_hits")
+    rows = (
         df.select(F.col(id).alias("id"), sentences(F.col(text)).alias("_sentences"))
         .select("id", F.explode(F.concat(numbered(positive, 1), numbered(negative, -1))).alias("_p"))
-        .withColumn("_hits", F.when(is_positive, positive.hits(F.col("_p.phrase")))
-                    .otherwise(negative.hits(F.col("_p.phrase"))))
-        .withColumn("_scores", F.when(is_positive, positive.scores(F.col("_hits")))
-                    .otherwise(negative.scores(F.col("_hits"))))
-        .withColumn("_best", best_label(F.col("_scores")))
-        .select("id", "_p.polarity", "_p.phrase_no", "_p.phrase",
-                F.col("_best.label").alias("label"), F.col("_best.score").alias("score"))
     )
+    return _scored(
+        rows, by_polarity(positive.hits(phrase), negative.hits(phrase)),
+        by_polarity(positive.scores(hits), negative.scores(hits)),
+    ).select("id", "_p.*", F.col("_best.label").alias("label"), F.col("_best.score").alias("score"))
 
 
 def choose_label(scores: DataFrame, labels: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:

@@ -52,9 +52,11 @@ def driver_gap(
     label are the total less those with it: one grouped pass and one small total.
     """
     s = F.col(score).cast("bigint")
-    sums = [F.count(s).alias("n"), F.sum(s).alias("s"), F.sum(s * s).alias("q")]
-    groups = df.filter(s.isNotNull()).groupBy(F.col(label).alias("label")).agg(*sums)
-    total = groups.agg(F.struct(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))).scalar()
+    groups = df.filter(s.isNotNull()).groupBy(F.col(label).alias("label")).agg(
+        F.count(s).alias("n"), F.sum(s).alias("s"), F.sum(s * s).alias("q"),
+        F.count(label).alias("labelled"))
+    # A filter on the count of labels stays above the grouping, so both readers share its exchange.
+    total = groups.agg(F.struct(*[F.sum(c).alias(c) for c in ("n", "s", "q", "labelled")])).scalar()
 
     def mean_and_error(n: Column, s: Column, q: Column) -> tuple[Column, Column]:
         mean = F.try_divide(s, n)
@@ -62,7 +64,7 @@ def driver_gap(
         return mean, F.try_divide(variance, n)
 
     as_double = lambda c: c.cast("double")
-    rest = groups.filter(F.col("label").isNotNull()).withColumn("_t", total).select(
+    rest = groups.filter(F.col("labelled") > 0).withColumn("_t", total).select(
         "label", *[as_double(F.col(c)).alias(f"{c}1") for c in ("n", "s", "q")],
         *[as_double(F.col(f"_t.{c}") - F.col(c)).alias(f"{c}0") for c in ("n", "s", "q")],
     )
@@ -83,32 +85,32 @@ def co_occurrence(
     ``df`` has one row per respondent and ``confidence`` is that of b given a. Only pairs with at
     least ``min_n`` respondents are reported, which allows three exact savings:
 
-    * an option with fewer respondents than min_n is in no reported pair and goes first;
     * equal answers are counted once, with the number of respondents as weight ``w``;
+    * an option with fewer respondents than min_n is in no reported pair and goes first;
     * a reported pair has min_n respondents, so if the min_n - 1 widest answers are set aside, some
       other answer still shows it. Those widest ones never list their pairs, they are only looked
       up for pairs already found. The other wide answers are spread over salts.
 
-    The distinct answers are written to the shared scratch folder, since several branches read them.
+    The distinct answers are written to the shared scratch folder: several branches read them, and
+    the comments or joins they come from are then worked out once.
     """
     answered = df.filter(F.col(options).isNotNull())
-    base = answered.agg(F.count(F.lit(1))).scalar().cast("double")
-    rows = answered.select(F.col(id).alias("id"), F.array_compact(F.array_distinct(options)).alias("_set"))
-    each = rows.select("id", F.explode("_set").alias("option"))
-    counts = each.groupBy("option").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_n)
+    answers = _written(
+        answered.groupBy(F.array_sort(F.array_compact(F.array_distinct(options))).alias("_set"))
+        .agg(F.count(F.lit(1)).alias("w"), F.min(id).alias("key"))
+    )
+    base = answers.agg(F.sum("w")).scalar().cast("double")
+    entries = answers.select("key", "w", F.explode("_set").alias("option"))
+    counts = entries.groupBy("option").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_n)
+    widest = answers.agg(F.max(F.size("_set"))).first()[0] or 0
 
     if min_n > 1:
-        kept = each.join(counts.select("option"), "option", "left_semi")
-        rows = kept.groupBy("id").agg(F.collect_set("option").alias("_set"))
-    path = scratch_path(df.sparkSession, "answers")
-    (rows.filter(F.size("_set") > 1)
-     .groupBy(F.array_sort("_set").alias("_set"))
-     .agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("key"))
-     .withColumn("size", F.size("_set"))
-     .write.parquet(path))
-    answers = df.sparkSession.read.parquet(path)
-
-    found = _pair_counts(answers, min_n, wide)
+        kept = entries.join(counts.select("option"), "option", "left_semi")
+        answers = kept.groupBy("key").agg(
+            F.max("w").alias("w"), F.array_sort(F.collect_set("option")).alias("_set"))
+        if widest > wide:
+            answers = _written(answers)
+    found = _pair_counts(answers, min_n, wide if widest > wide else None)
     n = F.col("n").cast("double")
     return (
         found
@@ -123,18 +125,27 @@ def co_occurrence(
     )
 
 
-def _pair_counts(answers: DataFrame, min_n: int, wide: int) -> DataFrame:
-    """(a, b, n) of the pairs that at least min_n respondents gave."""
-    listed = answers.filter(F.col("size") <= wide).select("w", F.inline(_pairs(F.col("_set"))))
-    widest = answers.agg(F.max("size")).first()[0] or 0
-    if widest > wide:
-        broad = answers.filter(F.col("size") > wide)
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "answers")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _pair_counts(answers: DataFrame, min_n: int, wide: int | None) -> DataFrame:
+    """(a, b, n) of the pairs that at least min_n respondents gave; ``wide`` is None if no answer
+    has more options than that."""
+    size = F.size("_set")
+    short = answers.filter(size > 1) if wide is None else answers.filter(size.between(2, wide))
+    listed = short.select("w", F.inline(_pairs(F.col("_set"))))
+    if wide is not None:
+        broad = answers.filter(size > wide)
         aside = _lightest(
-            broad.select("key", "w", "size").orderBy(F.desc("size"), "key").limit(min_n - 1), min_n - 1)
+            broad.select("key", "w", size.alias("size")).orderBy(F.desc("size"), "key").limit(min_n - 1),
+            min_n - 1)
         entries = broad.select("key", "w", F.explode("_set").alias("option"))
         listed = listed.unionByName(_spread_pairs(entries.join(aside, "key", "left_anti")))
     found = listed.groupBy("a", "b").agg(F.sum("w").alias("n"))
-    if widest > wide and min_n > 1:
+    if wide is not None and min_n > 1:
         looked_up = entries.join(aside, "key", "left_semi")
         more = (
             found.select("a", "b")

@@ -43,11 +43,21 @@ def freq_single(df: DataFrame, column: str, base: str = "all") -> DataFrame:
 
 
 def freq_multi(df: DataFrame, column: str) -> DataFrame:
-    """(option, n, share) of a multi-answer question; the base is the respondents who were asked."""
-    asked = df.filter(F.col(column).isNotNull())
-    base = asked.agg(F.count(F.lit(1))).scalar()
-    options = asked.select(F.explode(F.array_distinct(column)).alias("option"))
-    return _cells(options, "option").select("option", "n", share(F.col("n"), base).alias("share"))
+    """(option, n, share) of a multi-answer question; the base is the respondents who were asked.
+
+    The base is counted in the same pass, by a row without an option. Both readers of the cells use
+    both counts, so that they share one exchange.
+    """
+    cells = _option_rows(df, column).groupBy("option").agg(
+        F.count("option").alias("n"), F.count_if(F.col("option").isNull()).alias("_asked"))
+    base = cells.filter(F.col("n") == 0).agg(F.sum("_asked")).scalar()
+    return cells.filter(F.col("_asked") == 0).select("option", "n", share(F.col("n"), base).alias("share"))
+
+
+def _option_rows(df: DataFrame, column: str, *keep: str) -> DataFrame:
+    """One row per option of a respondent, and one with NULL for each respondent who was asked."""
+    options = F.concat(F.array(F.lit(None).cast("string")), F.array_compact(F.array_distinct(column)))
+    return df.filter(F.col(column).isNotNull()).select(*keep, F.explode(options).alias("option"))
 
 
 def crosstab(df: DataFrame, a: str, b: str, base: str = "all") -> DataFrame:
@@ -68,11 +78,9 @@ def crosstab_multi(df: DataFrame, column: str, segment: str) -> DataFrame:
 
     Every respondent also gives one row without an option, which counts the base in the same pass.
     """
-    marked = F.concat(F.array(F.lit(None).cast("string")), F.array_compact(F.array_distinct(column)))
-    rows = df.filter(F.col(column).isNotNull()).select(segment, F.explode(marked).alias("option"))
     base = F.max(F.when(F.col("option").isNull(), F.col("n"))).over(Window.partitionBy(segment))
     return (
-        _cells(rows, segment, "option").withColumn("_base", base)
+        _cells(_option_rows(df, column, segment), segment, "option").withColumn("_base", base)
         .filter(F.col("option").isNotNull())
         .select(segment, "option", "n", share(F.col("n"), F.col("_base")).alias("share"))
     )

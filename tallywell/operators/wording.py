@@ -25,7 +25,7 @@ def phrase_topk_approx(df: DataFrame, phrases: str, k: int, max_items: int = 100
     all phrases. Counts may be too high for phrases that are not frequent."""
     return (
         df.select(F.explode(F.array_distinct(phrases)).alias("phrase"))
-        .agg(F.approx_top_k("phrase", k, max_items).alias("_top"))
+        .agg(F.call_function("approx_top_k", F.col("phrase"), F.lit(k), F.lit(max_items)).alias("_top"))
         .select(F.inline("_top"))
         .select(F.col("item").alias("phrase"), F.col("count").alias("n"))
     )
@@ -45,12 +45,12 @@ def distinctive_terms(df: DataFrame, segment: str, terms: Column, k: int) -> Dat
     The top k are cut in every task before the last exchange, so one large segment does not end up
     in one task with all of its terms.
     """
+    df = df.filter(F.col(segment).isNotNull())
     counts = (
-        df.filter(F.col(segment).isNotNull())
-        .select(F.col(segment).alias("segment"), F.explode(terms).alias("term"))
+        df.select(F.col(segment).alias("segment"), F.explode(terms).alias("term"))
         .groupBy("segment", "term").agg(F.count(F.lit(1)).alias("n"))
     )
-    segments = counts.agg(F.countDistinct("segment")).scalar().cast("double")
+    segments = df.agg(F.countDistinct(segment)).scalar().cast("double")
     spread = F.count(F.lit(1)).over(Window.partitionBy("term"))
     ranked = Window.partitionBy("segment").orderBy(F.desc("tfidf"), "term")
     return (

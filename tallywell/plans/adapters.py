@@ -32,14 +32,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a scan that has fewer splits than there are cores.
+def spread(df: DataFrame, id: str = "id") -> DataFrame:
+    """Even out a scan that has fewer splits than there are cores, by its key.
 
     Such a scan is under one split per core, so the exchange is small whatever the cluster. A scan
     with enough splits is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, id) if df.rdd.getNumPartitions() < cores else df
 
 
 def answers(spark: SparkSession, folder: str, *columns: str) -> DataFrame:

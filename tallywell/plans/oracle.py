@@ -258,8 +258,9 @@ ORACLE_SQL = {
     "b15_phrase_topk": f"""WITH {SENTENCES}, {_found(POSITIVE, 'found')},
       c AS (SELECT phrase, count(*) AS n FROM found GROUP BY phrase)
       SELECT phrase, n, row_number() OVER (ORDER BY n DESC, phrase) AS rank FROM c QUALIFY rank <= 50""",
-    "b16_text_ngrams": """WITH t AS (SELECT text, unnest(range(1, length(text))) AS i FROM documents)
-      SELECT substr(text, i, 2) AS gram, count(*) AS n FROM t GROUP BY 1""",
+    "b16_text_ngrams": """WITH t AS (SELECT regexp_extract_all(text, '(?s).') AS c FROM documents),
+      g AS (SELECT unnest(list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1])) AS gram FROM t)
+      SELECT gram, count(*) AS n FROM g GROUP BY 1""",
     "b17_distinctive_terms": f"""WITH w AS (
         SELECT lang AS segment, unnest(string_split_regex(lower(text), '{WORD}')) AS term FROM documents),
       c AS (SELECT segment, term, count(*) AS n FROM w WHERE length(term) > 0 GROUP BY ALL),

@@ -10,10 +10,14 @@ from pyspark.sql import types as T
 
 from tallywell.functions.answers import multi_select, text_list, to_boolean, to_number
 from tallywell.functions.answers import to_satisfaction, to_submitted_at
-from tallywell.schema import SURVEY_SCHEMA
+from tallywell.schema import SURVEY_RULES, SURVEY_SCHEMA
 
 
-def _typed(column: Column, have: T.DataType, want: T.DataType) -> Column:
+BOUNDS = {r.column: (r.low, r.high) for r in SURVEY_RULES if r.low is not None}
+
+
+def _typed(name: str, have: T.DataType, want: T.DataType) -> Column:
+    column = F.col(name)
     if have == want:
         return column
     if isinstance(have, T.StringType):
@@ -24,7 +28,7 @@ def _typed(column: Column, have: T.DataType, want: T.DataType) -> Column:
         if isinstance(want, T.IntegerType):
             return to_satisfaction(column)
         if isinstance(want, T.DoubleType):
-            return to_number(column)
+            return to_number(column, *BOUNDS.get(name, ()))
         if isinstance(want, T.ArrayType):
             return text_list(column)
     return column.try_cast(want)
@@ -39,7 +43,7 @@ def conform(df: DataFrame, schema: T.StructType = SURVEY_SCHEMA) -> DataFrame:
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for field in schema.fields:
-        column = (_typed(F.col(field.name), have[field.name], field.dataType)
+        column = (_typed(field.name, have[field.name], field.dataType)
                   if field.name in have else F.lit(None).cast(field.dataType))
         out.append(column.alias(field.name, metadata=field.metadata))
     return df.select(*out)

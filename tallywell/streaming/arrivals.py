@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 
 def dedupe(
-    stream: DataFrame, delay: str, id: str = "id", time: str = "submitted_at"
+    stream: DataFrame, delay: str, id: str = "id", time: str = "submitted_at", salts: int = 8
 ) -> DataFrame:
     """Drop resubmitted ids. Rows later than the watermark are dropped too, and an id is forgotten
-    once the watermark has passed it, so the state does not grow with the history."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([id])
+    once the watermark has passed it, so the state does not grow with the history.
+
+    Copies of one id are first dropped within each of ``salts`` random parts, so that an id that is
+    sent very often reaches its last task at most ``salts`` times. 0 leaves that step out.
+    """
+    stream = stream.withWatermark(time, delay)
+    if salts:
+        stream = (
+            stream.withColumn("_salt", F.floor(F.rand(0) * salts))
+            .dropDuplicatesWithinWatermark([id, "_salt"]).drop("_salt")
+        )
+    return stream.dropDuplicatesWithinWatermark([id])
 
 
 def tally(
