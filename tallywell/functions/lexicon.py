@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.functions.text import LETTERS
+from tallywell.functions.text import LETTERS, SENTENCE_END, sentences
 from tallywell.schema import CATEGORIES
 
 MAX_INLINE_TERMS = 500
@@ -27,12 +27,14 @@ class Lexicon:
     """(term, label, weight) entries; a scene list has no labels.
 
     ``whole_words`` matches terms as words of letters. Without it a term matches anywhere, the
-    longest term first, and matches do not overlap; that is the form for Japanese.
+    longest term first, and matches do not overlap; that is the form for Japanese. No term may hold
+    what ends a sentence, so that hits of a comment are hits of its sentences.
     """
 
     entries: tuple[tuple[str, str | None, int], ...]
     whole_words: bool = True
     labels: tuple[str, ...] = tuple(CATEGORIES)
+    sentence_end: str = SENTENCE_END
 
     def __post_init__(self) -> None:
         terms = self.terms
@@ -43,6 +45,8 @@ class Lexicon:
         for term, label, weight in self.entries:
             if not term or term != term.lower():
                 raise ValueError(f"terms are non-empty and lower case: {term!r}")
+            if re.search(self.sentence_end, term):
+                raise ValueError(f"a sentence ends inside the term {term!r}")
             if weight < 1:
                 raise ValueError(f"weights are positive: {term!r}")
             if label is not None and label not in self.labels:
@@ -81,8 +85,8 @@ class Lexicon:
     def hits(self, text: Column) -> Column:
         return F.regexp_extract_all(F.lower(text), F.lit(self.pattern), F.lit(1))
 
-    def phrases(self, sentences: Column) -> Column:
-        return F.filter(sentences, self.found_in)
+    def phrases(self, text: Column) -> Column:
+        return F.filter(sentences(text, self.sentence_end), self.found_in)
 
     def scores(self, hits: Column) -> Column:
         """array<struct<score, place, label>>, one element per label the lexicon knows."""

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tallywell.functions.answers import BLANKS
 
 SENTENCE_END = "[.!?\\n。！？]+"
+# For text that writes numbers with a point, as in "0.00%", and ends sentences in Japanese style.
+JAPANESE_SENTENCE_END = "[!?\\n。！？]+"
 LETTERS = "a-zà-ÿ"
 
 
-def sentences(text: Column) -> Column:
-    parts = F.transform(F.split(text, SENTENCE_END, -1), lambda s: F.btrim(s, F.lit(BLANKS)))
+def sentences(text: Column, end: str = SENTENCE_END) -> Column:
+    parts = F.transform(F.split(text, end, -1), lambda s: F.btrim(s, F.lit(BLANKS)))
     return F.filter(parts, lambda s: F.length(s) > 0)
 
 

@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.functions.lexicon import Lexicon, best_label, once, score_array
-from tallywell.functions.text import sentences
 from tallywell.schema import CATEGORIES
 
 
 def extract(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_comment") -> DataFrame:
     """Add the distinct sentences that hold a term, in text order, as an array."""
-    return once(df, **{out: F.array_distinct(lexicon.phrases(sentences(F.col(text))))})
+    return once(df, **{out: F.array_distinct(lexicon.phrases(F.col(text)))})
 
 
 def classify(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_comment") -> DataFrame:
@@ -56,7 +55,7 @@ def feedback_rows(
     """
     def numbered(lexicon: Lexicon, polarity: int) -> Column:
         return F.transform(
-            lexicon.phrases(F.col("_sentences")),
+            lexicon.phrases(F.col(text)),
             lambda s, i: F.struct(
                 F.lit(polarity).alias("polarity"), (i + 1).alias("phrase_no"), s.alias("phrase")
             ),
@@ -66,10 +65,9 @@ def feedback_rows(
         return F.when(F.col("_p.polarity") == 1, of_positive).otherwise(of_negative)
 
     phrase, hits = F.col("_p.phrase"), F.col("_hits")
-    rows = (
-        df.select(F.col(id).alias("id"), sentences(F.col(text)).alias("_sentences"))
-        .select("id", F.explode(F.concat(numbered(positive, 1), numbered(negative, -1))).alias("_p"))
-    )
+    rows = df.select(
+        F.col(id).alias("id"),
+        F.explode(F.concat(numbered(positive, 1), numbered(negative, -1))).alias("_p"))
     return _scored(
         rows, by_polarity(positive.hits(phrase), negative.hits(phrase)),
         by_polarity(positive.scores(hits), negative.scores(hits)),

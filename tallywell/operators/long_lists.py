@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.functions.text import char_ngrams, sentences, words
+from tallywell.functions.text import SENTENCE_END, char_ngrams, sentences, words
 
 LIST_SCHEMA = "term string, label string, weight bigint"
 MAX_BROADCAST_TERMS = 100_000
@@ -39,7 +39,7 @@ def word_scores(
 
 def substring_scores(
     df: DataFrame, terms: DataFrame, id: str = "id", text: str = "free_comment",
-    max_broadcast: int = MAX_BROADCAST_TERMS,
+    max_broadcast: int = MAX_BROADCAST_TERMS, sentence_end: str = SENTENCE_END,
 ) -> DataFrame:
     """(id, label, score) rows for terms found anywhere, longest first and without overlap.
 
@@ -48,7 +48,7 @@ def substring_scores(
     """
     lengths = [r[0] for r in terms.select(F.length("term")).distinct().collect()]
     entries = terms.groupBy("term").agg(F.collect_list(F.struct("label", "weight")).alias("entries"))
-    row = df.select(F.col(id).alias("id"), F.posexplode(sentences(F.lower(F.col(text)))).alias("no", "_s"))
+    row = df.select(F.col(id).alias("id"), F.posexplode(sentences(F.lower(F.col(text)), sentence_end)).alias("no", "_s"))
     runs = F.concat(*[_runs(F.col("_s"), n) for n in sorted(lengths)])
     hits = _join_terms(row.select("id", "no", F.inline(runs)), entries, max_broadcast)
     found = hits.groupBy("id", "no").agg(F.array_sort(F.collect_list(

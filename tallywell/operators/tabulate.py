@@ -1,8 +1,9 @@
 """Tabulations of coded answers.
 
-All of them group first, so that what is shuffled, windowed or expanded afterwards is the table of
-cells and not the responses. Totals are scalar subqueries over those cells: they reuse the exchange
-of the cells and need neither a join nor a window over everything.
+All of them group first, so that what is shuffled, joined or expanded afterwards is the table of
+cells and not the responses. Totals and margins are read from those cells and reuse their exchange.
+A margin is joined and not windowed: a segment with very many options would fill one window task,
+while a join to one row per segment is broadcast or split by its measured size.
 """
 
 from __future__ import annotations
@@ -60,28 +61,36 @@ def _option_rows(df: DataFrame, column: str, *keep: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).select(*keep, F.explode(options).alias("option"))
 
 
+def _with_margins(cells: DataFrame, a: str, b: str) -> DataFrame:
+    """Add ``_row`` and ``_column``, the sums of ``n`` over the cells with the same a and the same b.
+
+    A missing code is a code of its own.
+    """
+    rows = cells.groupBy(F.col(a).alias("_a")).agg(F.sum("n").alias("_row"))
+    columns = cells.groupBy(F.col(b).alias("_b")).agg(F.sum("n").alias("_column"))
+    return (
+        cells.join(rows, F.col(a).eqNullSafe(F.col("_a")))
+        .join(columns, F.col(b).eqNullSafe(F.col("_b"))).drop("_a", "_b")
+    )
+
+
 def crosstab(df: DataFrame, a: str, b: str, base: str = "all") -> DataFrame:
     """(a, b, n, row_share, col_share, total_share)."""
     cells = _cells(with_base(df, [a, b], base), a, b)
     total = cells.agg(F.sum("n")).scalar()
     n = F.col("n")
-    return cells.select(
-        a, b, "n",
-        share(n, F.sum("n").over(Window.partitionBy(a))).alias("row_share"),
-        share(n, F.sum("n").over(Window.partitionBy(b))).alias("col_share"),
-        share(n, total).alias("total_share"),
-    )
+    return _with_margins(cells, a, b).select(
+        a, b, "n", share(n, F.col("_row")).alias("row_share"),
+        share(n, F.col("_column")).alias("col_share"), share(n, total).alias("total_share"))
 
 
 def crosstab_multi(df: DataFrame, column: str, segment: str) -> DataFrame:
-    """(segment, option, n, share) with the respondents of the segment as base.
-
-    Every respondent also gives one row without an option, which counts the base in the same pass.
-    """
-    base = F.max(F.when(F.col("option").isNull(), F.col("n"))).over(Window.partitionBy(segment))
+    """(segment, option, n, share) with the respondents of the segment as base."""
+    cells = _option_rows(df, column, segment).groupBy(segment, "option").agg(
+        F.count("option").alias("n"), F.count_if(F.col("option").isNull()).alias("_asked"))
+    base = cells.filter(F.col("n") == 0).select(F.col(segment).alias("_key"), F.col("_asked").alias("_base"))
     return (
-        _cells(_option_rows(df, column, segment), segment, "option").withColumn("_base", base)
-        .filter(F.col("option").isNotNull())
+        cells.filter(F.col("_asked") == 0).join(base, F.col(segment).eqNullSafe(F.col("_key")))
         .select(segment, "option", "n", share(F.col("n"), F.col("_base")).alias("share"))
     )
 
@@ -159,10 +168,9 @@ def association(df: DataFrame, a: str, b: str) -> DataFrame:
     cells = _cells(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b)
     total = cells.agg(F.sum("n")).scalar().cast("double")
     n = F.col("n").cast("double")
-    expected = (F.sum("n").over(Window.partitionBy(a)).cast("double")
-                * F.sum("n").over(Window.partitionBy(b)).cast("double") / total)
+    expected = F.col("_row").cast("double") * F.col("_column").cast("double") / total
     sums = (
-        cells.select(a, b, n.alias("n"), expected.alias("e"))
+        _with_margins(cells, a, b).select(a, b, n.alias("n"), expected.alias("e"))
         .agg(
             F.sum("n").alias("n"), F.sum("e").alias("e"), F.count(F.lit(1)).alias("cells"),
             F.sum((F.col("n") - F.col("e")) * (F.col("n") - F.col("e")) / F.col("e")).alias("seen"),
@@ -194,11 +202,10 @@ def segment_index(
     cells = _cells(df.filter(F.col(segment).isNotNull() & F.col(label).isNotNull()),
                    F.col(segment).alias("segment"), F.col(label).alias("label"))
     total = cells.agg(F.sum("n")).scalar()
-    in_segment = share(F.col("n"), F.sum("n").over(Window.partitionBy("segment")))
-    overall = share(F.sum("n").over(Window.partitionBy("label")), total)
+    in_segment, overall = share(F.col("n"), F.col("_row")), share(F.col("_column"), total)
     ranked = Window.partitionBy("segment").orderBy(F.desc("idx"), "label")
     return (
-        cells.withColumn("idx", F.round(in_segment / overall * 100, 6))
+        _with_margins(cells, "segment", "label").withColumn("idx", F.round(in_segment / overall * 100, 6))
         .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
         .select("segment", "label", "n", "idx", F.col("rank").cast("bigint").alias("rank"))
     )

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywell.functions.lexicon import Lexicon, MAX_INLINE_TERMS
+from tallywell.functions.text import JAPANESE_SENTENCE_END
 from tallywell.operators import labelling, long_lists
 from tallywell.schema import CATEGORIES
 
@@ -82,6 +83,15 @@ def test_long_list_of_words_equals_inline(spark, max_broadcast):
     assert set(inline) == {0, 1, 4}
 
 
+def test_a_number_with_a_point_stays_whole_with_japanese_sentence_ends(spark):
+    abv = Lexicon.of([("0.00%", "ABV", 1)], whole_words=False, sentence_end=JAPANESE_SENTENCE_END)
+    df = spark.createDataFrame([(1, "0.00%なのに旨い。また買う。")], "id bigint, free_comment string")
+    df = labelling.classify(labelling.extract(df, abv, "p"), abv, "p")
+    assert by_id(df, "p", "p_category") == {1: (["0.00%なのに旨い"], "ABV")}
+    with pytest.raises(ValueError):
+        Lexicon.of([("0.00%", "ABV", 1)], whole_words=False)
+
+
 def test_a_term_may_score_for_two_labels(spark):
     both = Lexicon.of([("x", "Aroma", 1), ("x", "Flavor", 3)])
     df = spark.createDataFrame([(1, "x x")], "id bigint, free_comment string")
@@ -128,5 +138,5 @@ def test_lexicon_refuses_bad_entries(spark):
         Lexicon.of_terms([f"t{i}" for i in range(MAX_INLINE_TERMS + 1)])
     table = spark.createDataFrame([("a.b", "Aroma", 1)], long_lists.LIST_SCHEMA)
     df = spark.createDataFrame([(1, "axb"), (2, "a.b")], "id bigint, free_comment string")
-    got = by_id(labelling.classify(df, Lexicon.from_table(table, whole_words=False), "p"), "p_category")
+    got = by_id(labelling.classify(df, Lexicon.from_table(table, whole_words=False, sentence_end=JAPANESE_SENTENCE_END), "p"), "p_category")
     assert got == {1: (None,), 2: ("Aroma",)}
