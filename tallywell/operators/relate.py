@@ -91,8 +91,9 @@ def co_occurrence(
       other answer still shows it. Those widest ones never list their pairs, they are only looked
       up for pairs already found. The other wide answers are spread over salts.
 
-    The distinct answers are written to the shared scratch folder: several branches read them, and
-    the comments or joins they come from are then worked out once.
+    Pairs are listed and counted as numbers, since options may be long phrases. The distinct answers
+    and the numbering are written to the shared scratch folder: several branches read them, the
+    comments or joins they come from are worked out once, and a number never changes.
     """
     answered = df.filter(F.col(options).isNotNull())
     answers = _written(
@@ -101,31 +102,41 @@ def co_occurrence(
     )
     base = answers.agg(F.sum("w")).scalar().cast("double")
     entries = answers.select("key", "w", F.explode("_set").alias("option"))
-    counts = entries.groupBy("option").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_n)
+    counts = _written(
+        entries.groupBy("option").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_n)
+        .withColumn("no", F.monotonically_increasing_id()))
     widest = answers.agg(F.max(F.size("_set"))).first()[0] or 0
 
-    if min_n > 1:
-        kept = entries.join(counts.select("option"), "option", "left_semi")
-        answers = kept.groupBy("key").agg(
-            F.max("w").alias("w"), F.array_sort(F.collect_set("option")).alias("_set"))
-        if widest > wide:
-            answers = _written(answers)
-    found = _pair_counts(answers, min_n, wide if widest > wide else None)
-    n = F.col("n").cast("double")
-    return (
+    numbered = (
+        entries.join(counts.select("option", "no"), "option").groupBy("key")
+        .agg(F.max("w").alias("w"), F.array_sort(F.collect_set("no")).alias("_set"))
+    )
+    if widest > wide:
+        numbered = _written(numbered)
+    found = _pair_counts(numbered, min_n, wide if widest > wide else None)
+
+    left = F.struct("_oa", "_na")
+    right = F.struct(F.col("_ob").alias("_oa"), F.col("_nb").alias("_na"))
+    named = (
         found
-        .join(counts.select(F.col("option").alias("a"), F.col("n").alias("_na")), "a")
-        .join(counts.select(F.col("option").alias("b"), F.col("n").alias("_nb")), "b")
-        .select(
-            "a", "b", "n",
-            F.try_divide(n, base).alias("support"),
-            F.try_divide(n, F.col("_na").cast("double")).alias("confidence"),
-            F.try_divide(n * base, F.col("_na").cast("double") * F.col("_nb").cast("double")).alias("lift"),
-        )
+        .join(counts.select(F.col("no").alias("a"), F.col("option").alias("_oa"), F.col("n").alias("_na")), "a")
+        .join(counts.select(F.col("no").alias("b"), F.col("option").alias("_ob"), F.col("n").alias("_nb")), "b")
+        .select("n", F.array_sort(F.array(left, right)).alias("_ends"))
+        .select(F.col("_ends")[0]["_oa"].alias("a"), F.col("_ends")[1]["_oa"].alias("b"), "n",
+                F.col("_ends")[0]["_na"].cast("double").alias("_na"),
+                F.col("_ends")[1]["_na"].cast("double").alias("_nb"))
+    )
+    n = F.col("n").cast("double")
+    return named.select(
+        "a", "b", "n",
+        F.try_divide(n, base).alias("support"),
+        F.try_divide(n, F.col("_na")).alias("confidence"),
+        F.try_divide(n * base, F.col("_na") * F.col("_nb")).alias("lift"),
     )
 
 
 def _written(df: DataFrame) -> DataFrame:
+    """The frame as a parquet table that several branches can read and that survives lost executors."""
     path = scratch_path(df.sparkSession, "answers")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -32,14 +32,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def files_of_small(df: DataFrame) -> list[str] | None:
+    """The files of a scan of at most two splits per core; None for a larger one."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.inputFiles() if df.rdd.getNumPartitions() <= 2 * cores else None
+
+
 def spread(df: DataFrame, id: str = "id") -> DataFrame:
-    """Even out a scan that has fewer splits than there are cores, by its key.
+    """Even out a small scan that comes from fewer files than there are cores, by its key.
 
-    Such a scan is under one split per core, so the exchange is small whatever the cluster. A scan
-    with enough splits is left alone.
+    A file of one row group is read by one task however many splits it has. The exchange is small
+    whatever the cluster, since a larger scan is left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, id) if df.rdd.getNumPartitions() < cores else df
+    cores, files = df.sparkSession.sparkContext.defaultParallelism, files_of_small(df)
+    return df.repartition(cores, id) if files is not None and len(files) < cores else df
 
 
 def answers(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -105,8 +111,14 @@ def timeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def arriving(spark: SparkSession, folder: str) -> DataFrame:
     """The timeline as a stream, with every third response sent twice."""
-    schema = table(spark, folder, "events").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder))
+    events = table(spark, folder, "events")
+    reader = spark.readStream.schema(events.schema)
+    files = files_of_small(events) or []
+    if len(files) == 1 and files[0].endswith("/events.parquet"):
+        # The table is a file and not a folder; a stream reads folders.
+        events = reader.option("pathGlobFilter", "events.parquet").parquet(folder)
+    else:
+        events = reader.parquet(f"{folder}/events.parquet")
     return (
         events.select(
             F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("submitted_at"),
