@@ -88,6 +88,12 @@ class Lexicon:
     def phrases(self, text: Column) -> Column:
         return F.filter(sentences(text, self.sentence_end), self.found_in)
 
+    def phrases_with_hits(self, text: Column) -> Column:
+        """array<struct<phrase, hits>> of the sentences with a term, each searched once."""
+        searched = F.transform(sentences(text, self.sentence_end), lambda s: F.struct(
+            s.alias("phrase"), self.hits(s).alias("hits")))
+        return F.filter(searched, lambda p: F.size(p["hits"]) > 0)
+
     def scores(self, hits: Column) -> Column:
         """array<struct<score, place, label>>, one element per label the lexicon knows."""
         by_label: dict[str, dict[int, list[str]]] = defaultdict(lambda: defaultdict(list))

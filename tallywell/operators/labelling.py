@@ -22,17 +22,17 @@ def classify(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_commen
     A narrow projection: no join and no exchange.
     """
     columns = [F.col(c) for c in df.columns]
-    return _scored(df, lexicon.hits(F.col(text)), lexicon.scores(F.col("_hits"))).select(
+    df = df.withColumn("_hits", lexicon.hits(F.col(text)))
+    return _scored(df, lexicon.scores(F.col("_hits"))).select(
         *columns,
         F.col("_best.label").alias(f"{out}_category"),
         F.col("_best.confidence").alias(f"{out}_confidence"),
     )
 
 
-def _scored(df: DataFrame, hits: Column, scores: Column) -> DataFrame:
-    """Add ``_hits``, ``_scores`` over them and the ``_best`` label."""
-    df = df.withColumn("_hits", hits).withColumn("_scores", scores)
-    return once(df, _best=best_label(F.col("_scores")))
+def _scored(df: DataFrame, scores: Column) -> DataFrame:
+    """Add the ``_best`` label. Scores are a column of their own, as they are read several times."""
+    return once(df.withColumn("_scores", scores), _best=best_label(F.col("_scores")))
 
 
 def enrich(
@@ -55,23 +55,21 @@ def feedback_rows(
     """
     def numbered(lexicon: Lexicon, polarity: int) -> Column:
         return F.transform(
-            lexicon.phrases(F.col(text)),
-            lambda s, i: F.struct(
-                F.lit(polarity).alias("polarity"), (i + 1).alias("phrase_no"), s.alias("phrase")
+            lexicon.phrases_with_hits(F.col(text)),
+            lambda p, i: F.struct(
+                F.lit(polarity).alias("polarity"), (i + 1).alias("phrase_no"),
+                p["phrase"].alias("phrase"), p["hits"].alias("hits"),
             ),
         )
 
-    def by_polarity(of_positive: Column, of_negative: Column) -> Column:
-        return F.when(F.col("_p.polarity") == 1, of_positive).otherwise(of_negative)
-
-    phrase, hits = F.col("_p.phrase"), F.col("_hits")
     rows = df.select(
         F.col(id).alias("id"),
-        F.explode(F.concat(numbered(positive, 1), numbered(negative, -1))).alias("_p"))
-    return _scored(
-        rows, by_polarity(positive.hits(phrase), negative.hits(phrase)),
-        by_polarity(positive.scores(hits), negative.scores(hits)),
-    ).select("id", "_p.*", F.col("_best.label").alias("label"), F.col("_best.score").alias("score"))
+        F.inline(F.concat(numbered(positive, 1), numbered(negative, -1))))
+    hits = F.col("hits")
+    scores = F.when(F.col("polarity") == 1, positive.scores(hits)).otherwise(negative.scores(hits))
+    return _scored(rows, scores).select(
+        "id", "polarity", "phrase_no", "phrase",
+        F.col("_best.label").alias("label"), F.col("_best.score").alias("score"))
 
 
 def choose_label(scores: DataFrame, labels: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:
