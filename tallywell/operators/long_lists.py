@@ -43,7 +43,7 @@ def substring_scores(
 ) -> DataFrame:
     """(id, label, score) rows for terms found anywhere, longest first and without overlap.
 
-    Every run of characters that is as long as some term is matched by equality. What is then
+    ``id`` has to be a key, which ``quality.check_primary_key`` tests. Every run of characters that is as long as some term is matched by equality. What is then
     gathered per sentence are the matches of that one sentence, which came from one row.
     """
     lengths = [r[0] for r in terms.select(F.length("term")).distinct().collect()]
