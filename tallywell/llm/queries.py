@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import exact_topk
+from tallywell.llm import exact_topk, quality_classifier
 from tallywell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_classifier.judge(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+
+
 @query("op3_exact_topk")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
