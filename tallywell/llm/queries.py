@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import exact_topk, quality_classifier
+from tallywell.llm import exact_topk, ngram_jaccard, quality_classifier
 from tallywell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_exact_topk")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op6_ngram_jaccard")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard.link(table(spark, folder, "documents").select("doc_id", "text"))
