@@ -24,10 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back, which cuts the lineage."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -49,7 +49,7 @@ def stream(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(seed))
 
 
-BYTE_VALUES = stream(256, 77)
+BYTE_VALUES = stream(257, 77)
 BASE, BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 

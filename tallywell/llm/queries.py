@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import exact_topk, ngram_jaccard, quality_classifier
+from tallywell.llm import exact_topk, ngram_jaccard, quality_classifier, suffix_dedup
 from tallywell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_ngram_jaccard")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard.link(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, folder, "documents").select("doc_id", "text"))
