@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import exact_topk, ngram_jaccard, quality_classifier, suffix_dedup
+from tallywell.llm import exact_topk, ngram_jaccard, pieces, quality_classifier, quality_rules, suffix_dedup
 from tallywell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op5_quality_rules")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    trusted = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return quality_rules.judge(docs, quality_rules.fit(docs, trusted))
+
+
 @query("op6_ngram_jaccard")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard.link(table(spark, folder, "documents").select("doc_id", "text"))
@@ -41,3 +48,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op10_sentencepiece")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digest(table(spark, folder, "documents").select("doc_id", "text"))
