@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywell.llm import exact_topk, ngram_jaccard, pieces, quality_classifier, quality_rules, suffix_dedup
+from tallywell.llm import (
+    exact_topk,
+    ngram_jaccard,
+    packing,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+)
 from tallywell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +53,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard.link(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op8_suffix_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(table(spark, folder, "documents").select("doc_id", "text"))
