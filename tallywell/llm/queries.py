@@ -15,6 +15,7 @@ from tallywell.llm import (
     quality_classifier,
     quality_rules,
     suffix_dedup,
+    url_rules,
 )
 from tallywell.llm.common import table
 
@@ -63,6 +64,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op9_url_rules")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages").select("page_id", "url"))
+
+
 @query("op10_sentencepiece")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest(table(spark, folder, "documents").select("doc_id", "text"))
