@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywell.llm import (
     exact_topk,
+    lm_scoring,
     ngram_jaccard,
     packing,
     pieces,
@@ -42,6 +43,14 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text").withColumn(
+        "learn", F.crc32(F.col("doc_id").cast("string")) % 10 != 0)
+    return lm_scoring.score(docs, "learn").select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
