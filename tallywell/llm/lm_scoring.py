@@ -27,7 +27,7 @@ from tallywell.llm.common import (
     span_hash,
     words,
 )
-from tallywell.llm.ppm_model import MASK, WIDTH, codes, log_probabilities
+from tallywell.llm.ppm_model import MASK, ORDER, WIDTH, codes, log_probabilities
 
 CODE = np.dtype([("key", "<i8"), ("count", "<i8")])
 VALUE = np.dtype([("key", "<i8"), ("value", "<f8")])
@@ -91,8 +91,8 @@ def _ask(parts: int):
             term, cuts = _words(data, offsets)
             terms.append(_counted([term], [np.repeat(flags, np.diff(cuts))]))
         grams, terms, bucket = _merged(grams), _merged(terms), int(key[0])
-        near = grams["key"] >> (3 * WIDTH)
-        pair = ((grams["key"] >> (4 * WIDTH)) << WIDTH) | (grams["key"] & MASK)
+        near = grams["key"] >> ((ORDER - 1) * WIDTH)
+        pair = ((grams["key"] >> (ORDER * WIDTH)) << WIDTH) | (grams["key"] & MASK)
         unique, inverse = np.unique(pair, return_inverse=True)
         sums = np.bincount(inverse, grams["count"]).astype(np.int64)
         out = _dealt("code", bucket, grams, (mix(near.astype(U)) % U(parts)).astype(np.int64), parts)

@@ -1,6 +1,6 @@
 """Prediction by partial matching over byte contexts, for all symbols of a set of contexts at once.
 
-A code is a symbol with the four before it: the nearest in the highest bits, the symbol itself in the lowest. So
+A code is a symbol with the ``ORDER`` before it: the nearest in the highest bits, the symbol itself in the lowest. So
 sorted codes are a trie of contexts from near to far. An escape from a context takes the share of its number of
 distinct symbols, and the symbols of the longer context are excluded from the totals of the shorter one.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-ORDER, WIDTH = 4, 9
+ORDER, WIDTH = 5, 9
 END, START = 256, 257
 SYMBOLS = 257
 MASK = (1 << WIDTH) - 1
