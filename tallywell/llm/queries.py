@@ -13,6 +13,7 @@ from tallywell.llm import (
     ngram_jaccard,
     packing,
     pieces,
+    pii,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -38,6 +39,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.judge(docs, table(spark, folder, "labels").select("doc_id", "quality"))
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op3_exact_topk")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
