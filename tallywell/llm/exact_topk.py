@@ -112,7 +112,7 @@ def search(vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: str
     candidates = dealt(rows, wide, deep, "c", "b")
     queries = dealt(rows.where("q").dropDuplicates(["id", "h"]), deep, wide, "b", "c")
 
-    def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return search_block(left, right, k)
 
     found = queries.groupBy("c", "b").cogroup(candidates.groupBy("c", "b")).applyInPandas(meet, RESULT)

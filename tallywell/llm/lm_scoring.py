@@ -79,7 +79,7 @@ def _dealt(kind: str, bucket: int, found: np.ndarray, part: np.ndarray, parts: i
 
 
 def _ask(parts: int):
-    def ask(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def ask(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         grams, terms = [], []
         low = 0
         learn = rows["learn"].to_numpy(bool)
@@ -104,7 +104,7 @@ def _ask(parts: int):
 
 
 def _answer(pairs: np.ndarray, pair_counts: np.ndarray):
-    def answer(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         sent = [np.frombuffer(x, CODE) for x in rows["packed"]]
         total = _merged(sent)
         if key[0] == "code":

@@ -131,7 +131,7 @@ def fit(examples: DataFrame, settings: Settings = Settings(), text: str = "text"
     """
     schema = "shard int, w binary"
 
-    def learn(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def learn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("order", kind="stable")
         known, labels = [], rows["label"].to_numpy(float)
         batch = pa.RecordBatch.from_arrays([pa.array(rows["text"], pa.large_string())], ["text"])
