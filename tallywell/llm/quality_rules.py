@@ -62,9 +62,11 @@ def fit(docs: DataFrame, trusted: DataFrame, s: Settings = Settings(), id: str =
         raw[row.b], target[row.b] = row.raw, row.target
     if not sum(target):
         return [0.0] * s.buckets
-    in_all, in_target = sum(raw) + s.smoothing * s.buckets, sum(target) + s.smoothing * s.buckets
-    return [math.log((t + s.smoothing) / in_target) - math.log((r + s.smoothing) / in_all)
-            for r, t in zip(raw, target, strict=True)]
+    # The target is smoothed by the raw shares, so buckets without evidence have a ratio of about 1.
+    weight = s.smoothing * s.buckets
+    shares = [(r + s.smoothing) / (sum(raw) + weight) for r in raw]
+    size = sum(target) + weight
+    return [math.log((t + weight * share) / size / share) for t, share in zip(target, shares, strict=True)]
 
 
 def _repeat_words(words: str, window: int) -> Column:
