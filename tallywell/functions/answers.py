@@ -3,6 +3,7 @@ a bad answer: what cannot be read becomes NULL."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,6 @@ TRUE_WORDS = ("true", "t", "yes", "y", "1", "はい")
 FALSE_WORDS = ("false", "f", "no", "n", "0", "いいえ")
 FULL_WIDTH_DIGITS = "０１２３４５６７８９．－"
 ASCII_DIGITS = "0123456789.-"
-MAX_BANDS = 200
 
 
 def strip(text: Column) -> Column:
@@ -37,8 +37,15 @@ def to_boolean(text: Column) -> Column:
 
 
 def to_satisfaction(text: Column, low: int = 1, high: int = 5) -> Column:
-    score = half_width_number(text).try_cast("int")
-    return F.when(score.between(low, high), score)
+    """A whole number in the range; '4.0' is a 4, '4.5' is none."""
+    return whole_number(half_width_number(text).try_cast("double"), low, high)
+
+
+def whole_number(number: Column, low: float | None = None, high: float | None = None) -> Column:
+    ok = number == F.floor(number)
+    if low is not None:
+        ok = ok & number.between(low, high)
+    return F.when(ok, number.try_cast("int"))
 
 
 def to_number(text: Column, low: float | None = None, high: float | None = None) -> Column:
@@ -53,17 +60,26 @@ def to_number(text: Column, low: float | None = None, high: float | None = None)
 
 def multi_select(text: Column, separators: str = SEPARATORS) -> Column:
     """'a, b,,a' to ['a', 'b']; '' to []; NULL stays NULL."""
-    parts = F.transform(F.split(text, separators, -1), strip)
-    return F.array_distinct(F.filter(parts, lambda p: F.length(p) > 0))
+    return cleaned(F.split(text, separators, -1))
 
 
 def text_list(text: Column, separators: str = SEPARATORS) -> Column:
-    """A list held in a text: JSON if it starts like JSON, else separated values.
+    """A list held in a text: JSON if it starts like JSON, else separated values; cleaned alike.
 
-    A text that starts with '[' but is no JSON list is damaged and gives NULL.
+    A text that starts with '[' but is no JSON list from end to end is damaged and gives NULL.
     """
-    as_json = F.from_json(text, "array<string>")
-    return F.when(looks_like_json(text), as_json).otherwise(multi_select(text, separators))
+    return F.when(looks_like_json(text), cleaned(_json_list(text))).otherwise(multi_select(text, separators))
+
+
+def cleaned(values: Column) -> Column:
+    """Without blanks at the ends, empty or missing values, and repeats."""
+    return F.array_distinct(F.filter(F.transform(values, strip), lambda p: F.length(p) > 0))
+
+
+def _json_list(text: Column) -> Column:
+    # As the only element of a list, a list with anything behind it is no JSON or not the only one.
+    lists = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<array<string>>")
+    return F.when(F.size(lists) == 1, lists[0])
 
 
 def looks_like_json(text: Column) -> Column:
@@ -71,7 +87,7 @@ def looks_like_json(text: Column) -> Column:
 
 
 def is_damaged_list(text: Column) -> Column:
-    return looks_like_json(text) & F.from_json(text, "array<string>").isNull()
+    return looks_like_json(text) & _json_list(text).isNull()
 
 
 def band(value: Column, edges: Sequence[float], codes: Sequence[str]) -> Column:
@@ -87,10 +103,8 @@ def band(value: Column, edges: Sequence[float], codes: Sequence[str]) -> Column:
 
 
 def bands_of(table: DataFrame) -> list[tuple[float, float, str]]:
-    """Read a (low, high, code) band table, refusing one that is no band list."""
-    rows = table.select("low", "high", "code").orderBy("low").limit(MAX_BANDS + 1).collect()
-    if len(rows) > MAX_BANDS:
-        raise ValueError(f"more than {MAX_BANDS} bands")
+    """Read a (low, high, code) band table of any length, refusing one whose bands overlap."""
+    rows = table.select("low", "high", "code").orderBy("low").collect()
     for a, b in zip(rows, rows[1:]):
         if b["low"] < a["high"]:
             raise ValueError(f"bands {a['code']!r} and {b['code']!r} overlap")
@@ -98,12 +112,20 @@ def bands_of(table: DataFrame) -> list[tuple[float, float, str]]:
 
 
 def band_from(value: Column, bands: Sequence[tuple[float, float, str]]) -> Column:
-    """The code of the band with low <= value < high; NULL in a gap. A band list is short, so it is
-    written into the query and needs no range join."""
-    out = F.lit(None).cast("string")
-    for low, high, code in reversed(bands):
-        out = F.when((value >= low) & (value < high), code).otherwise(out)
-    return out
+    """The code of the band with low <= value < high; NULL in a gap. Bands do not overlap, so the only
+    candidate is the last one that starts at or below the value."""
+    ordered = sorted(bands)
+    if not ordered:
+        return F.lit(None).cast("string")
+
+    def numbers(values: list[float]) -> Column:
+        return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+    number = value.cast("double")
+    place = F.size(F.filter(numbers([b[0] for b in ordered]), lambda low: low <= number))
+    codes = F.from_json(F.lit(json.dumps([b[2] for b in ordered])), "array<string>")
+    inside = (place > 0) & ~F.isnan(number) & (number < F.get(numbers([b[1] for b in ordered]), place - 1))
+    return F.when(inside, F.get(codes, place - 1))
 
 
 def rank_of(code: Column, order: Sequence[str]) -> Column:

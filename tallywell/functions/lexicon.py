@@ -64,8 +64,10 @@ class Lexicon:
 
     @classmethod
     def from_table(cls, table: DataFrame, **options) -> Lexicon:
-        """Read a (term, label, weight) table, refusing one that is too long to inline."""
-        rows = table.select("term", "label", "weight").limit(MAX_INLINE_TERMS * len(CATEGORIES) + 1)
+        """Read a whole (term, label, weight) table; its terms are counted first, since a long list stays a table."""
+        rows = table.select("term", "label", "weight")
+        if rows.select("term").distinct().limit(MAX_INLINE_TERMS + 1).count() > MAX_INLINE_TERMS:
+            raise ValueError(f"more than {MAX_INLINE_TERMS} terms: use operators.long_lists")
         return cls.of(rows.collect(), **options)
 
     @property

@@ -35,8 +35,13 @@ def char_ngrams(text: Column, n: int = 2) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
+def place_of(text: Column, term: str) -> Column:
+    """The first place of ``term`` in a text, in any case, from 1; 0 without one."""
+    return F.regexp_instr(text, F.lit("(?iu)" + "".join(f"\\x{{{ord(c):x}}}" for c in term)))
+
+
 def snippet(text: Column, term: str, width: int = 20) -> Column:
     """The first place that holds ``term``, with up to ``width`` characters on both sides."""
-    at = F.instr(F.lower(text), term.lower())
+    at = place_of(text, term)
     start = F.greatest(at - width, F.lit(1))
     return F.when(at > 0, text.substr(start, at - start + F.lit(len(term) + width)))

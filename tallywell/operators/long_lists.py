@@ -1,62 +1,100 @@
 """Term lists too long to be written into a query: they stay tables and are joined.
 
-The results equal those of an inline ``Lexicon`` with the same terms.
+The results equal those of an inline ``Lexicon`` with the same terms. Spark picks the kind of join by the measured size
+of the list, and splits a term that fills a large part of the rows at run time. ``id`` has to be a key of the
+comments, which ``quality.check_primary_key`` tests.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.functions.text import SENTENCE_END, char_ngrams, sentences, words
+from tallywell.operators.labelling import choose_label
+from tallywell.schema import CATEGORIES
 
 LIST_SCHEMA = "term string, label string, weight bigint"
-MAX_BROADCAST_TERMS = 100_000
-SALTS = 32
 
 
-def _join_terms(rows: DataFrame, terms: DataFrame, max_broadcast: int) -> DataFrame:
-    """Join (id, ..., term, n) rows to the list. A list that is counted as short is broadcast. For a
-    longer one both sides are shuffled, and a term that fills a third of the rows is cut into salts."""
-    if terms.limit(max_broadcast + 1).count() <= max_broadcast:
-        return rows.join(F.broadcast(terms), "term")
-    salted = terms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (
-        rows.withColumn("_salt", F.pmod(F.hash("id"), F.lit(SALTS)))
-        .join(salted, ["term", "_salt"]).drop("_salt")
-    )
+def _sentences(df: DataFrame, key: str, text: str, end: str) -> DataFrame:
+    """(key, no, phrase): the sentences of each comment, numbered in text order."""
+    return df.select(F.col(key).alias("key"), F.posexplode(sentences(F.col(text), end)).alias("no", "phrase"))
 
 
-def word_scores(
-    df: DataFrame, terms: DataFrame, id: str = "id", text: str = "free_comment",
-    max_broadcast: int = MAX_BROADCAST_TERMS,
-) -> DataFrame:
-    """(id, label, score) rows, one per word of the comment that is on the list."""
-    rows = df.select(F.col(id).alias("id"), F.explode(words(F.col(text))).alias("term"))
-    hits = _join_terms(rows, terms, max_broadcast)
-    return hits.select("id", "label", F.col("weight").cast("bigint").alias("score"))
+def _word_hits(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(key, no, label, score), one row per word that is on the list."""
+    found = rows.select("key", "no", F.explode(words(F.col("phrase"))).alias("term"))
+    return found.join(terms, "term").select("key", "no", "label", F.col("weight").cast("bigint").alias("score"))
 
 
-def substring_scores(
-    df: DataFrame, terms: DataFrame, id: str = "id", text: str = "free_comment",
-    max_broadcast: int = MAX_BROADCAST_TERMS, sentence_end: str = SENTENCE_END,
-) -> DataFrame:
-    """(id, label, score) rows for terms found anywhere, longest first and without overlap.
+def _substring_hits(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """The same for terms found anywhere, longest first and without overlap.
 
-    ``id`` has to be a key, which ``quality.check_primary_key`` tests. Every run of characters that is as long as some term is matched by equality. What is then
-    gathered per sentence are the matches of that one sentence, which came from one row.
+    Every run of characters that is as long as some term is matched by equality. What is then gathered per sentence
+    are the matches of that one sentence, which came from one row.
     """
     lengths = [r[0] for r in terms.select(F.length("term")).distinct().collect()]
     entries = terms.groupBy("term").agg(F.collect_list(F.struct("label", "weight")).alias("entries"))
-    row = df.select(F.col(id).alias("id"), F.posexplode(sentences(F.lower(F.col(text)), sentence_end)).alias("no", "_s"))
-    runs = F.concat(*[_runs(F.col("_s"), n) for n in sorted(lengths)])
-    hits = _join_terms(row.select("id", "no", F.inline(runs)), entries, max_broadcast)
-    found = hits.groupBy("id", "no").agg(F.array_sort(F.collect_list(
+    low = rows.select("key", "no", F.lower("phrase").alias("_s"))
+    hits = low.select("key", "no", F.inline(F.concat(*[_runs(F.col("_s"), n) for n in sorted(lengths)]))).join(entries, "term")
+    found = hits.groupBy("key", "no").agg(F.array_sort(F.collect_list(
         F.struct("at", (-F.col("len")).alias("back"), "entries"))).alias("hits"))
-    return (
-        found.select("id", F.inline(_without_overlap(F.col("hits"))))
-        .select("id", "label", F.col("weight").cast("bigint").alias("score"))
-    )
+    return found.select("key", "no", F.inline(_without_overlap(F.col("hits")))).select(
+        "key", "no", "label", F.col("weight").cast("bigint").alias("score"))
+
+
+def _hits(rows: DataFrame, terms: DataFrame, whole_words: bool) -> DataFrame:
+    return (_word_hits if whole_words else _substring_hits)(rows, terms)
+
+
+def classify(
+    df: DataFrame, terms: DataFrame, out: str, id: str = "id", text: str = "free_comment", whole_words: bool = True,
+    labels: Sequence[str] = tuple(CATEGORIES), sentence_end: str = SENTENCE_END,
+) -> DataFrame:
+    """``df`` with ``{out}_category`` and ``{out}_confidence``, NULL without a hit."""
+    hits = _hits(_sentences(df, id, text, sentence_end), terms, whole_words)
+    chosen = choose_label(hits.select(F.col("key").alias("id"), "label", "score"), labels).select(
+        F.col("id").alias(id), F.col("category").alias(f"{out}_category"), F.col("confidence").alias(f"{out}_confidence"))
+    return df.join(chosen, id, "left")
+
+
+def extract(
+    df: DataFrame, terms: DataFrame, out: str, id: str = "id", text: str = "free_comment", whole_words: bool = True,
+    sentence_end: str = SENTENCE_END,
+) -> DataFrame:
+    """``df`` with the distinct sentences that hold a term, in text order, as an array; a missing comment has NULL."""
+    rows = _sentences(df, id, text, sentence_end)
+    places = _hits(rows, terms, whole_words).select("key", "no").distinct()
+    found = rows.join(places, ["key", "no"]).groupBy("key").agg(F.array_distinct(F.transform(
+        F.array_sort(F.collect_list(F.struct("no", "phrase"))), lambda p: p["phrase"])).alias(out))
+    none = F.when(F.col(text).isNotNull(), F.array().cast("array<string>"))
+    found = found.select(F.col("key").alias(id), F.col(out).alias("_found"))
+    return df.join(found, id, "left").select(*[F.col(c) for c in df.columns], F.coalesce("_found", none).alias(out))
+
+
+def feedback_rows(
+    df: DataFrame, positive: DataFrame, negative: DataFrame, id: str = "id", text: str = "free_comment",
+    whole_words: bool = True, labels: Sequence[str] = tuple(CATEGORIES), sentence_end: str = SENTENCE_END,
+) -> DataFrame:
+    """The long form of ``labelling.feedback_rows``: (id, polarity, phrase_no, phrase, label, score)."""
+    rows = _sentences(df, id, text, sentence_end)
+    number = {label: i for i, label in enumerate(labels)}
+
+    def one(terms: DataFrame, polarity: int) -> DataFrame:
+        # A sentence that only terms without a label hold is a phrase without one.
+        summed = _hits(rows, terms, whole_words).groupBy("key", "no", "label").agg(F.sum("score").alias("score"))
+        place = F.coalesce(*[F.when(F.col("label") == label, -i) for label, i in number.items()])
+        best = F.max(F.when(place.isNotNull(), F.struct("score", place.alias("place"), "label")))
+        return summed.groupBy("key", "no").agg(best.alias("best")).select(F.lit(polarity).alias("polarity"), "key", "no", "best")
+
+    named = one(positive, 1).union(one(negative, -1)).join(rows, ["key", "no"])
+    by_comment = named.groupBy("key", "polarity").agg(F.array_sort(F.collect_list(
+        F.struct("no", "phrase", F.col("best.label").alias("label"), F.col("best.score").alias("score")))).alias("all"))
+    return by_comment.select(F.col("key").alias("id"), "polarity", F.posexplode("all").alias("_i", "x")).select(
+        "id", "polarity", (F.col("_i") + 1).alias("phrase_no"), "x.phrase", "x.label", "x.score")
 
 
 def _runs(sentence: Column, n: int) -> Column:

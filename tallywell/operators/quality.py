@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywell.functions.answers import half_width_number, is_damaged_list
+from tallywell.functions.answers import is_damaged_list, strip, to_boolean, to_number, to_satisfaction, to_submitted_at
+from tallywell.functions.answers import whole_number
 from tallywell.schema import NO_ANSWER, SURVEY_RULES, Rule
 
 
@@ -28,11 +29,20 @@ def _finding(rule: Rule, dtype: T.DataType) -> Column | None:
         if not isinstance(dtype, T.StringType):
             return None
         kind, bad = "damaged", is_damaged_list(value)
+    elif rule.typed:
+        if not isinstance(dtype, T.StringType):
+            return None
+        kind = "unreadable"
+        bad = value.isNotNull() & {"timestamp": to_submitted_at, "boolean": to_boolean}[rule.typed](value).isNull()
     else:
-        number = half_width_number(value).try_cast("double") if isinstance(dtype, T.StringType) \
-            else value.cast("double")
-        inside = F.coalesce(number.between(rule.low, rule.high), F.lit(False))
-        kind, bad = "violation", value.isNotNull() & ~inside
+        # The same functions as those that type a column, so what typing loses is a finding.
+        if isinstance(dtype, T.StringType):
+            number = to_satisfaction(value, rule.low, rule.high) if rule.whole else to_number(value, rule.low, rule.high)
+        elif rule.whole:
+            number = whole_number(value.cast("double"), rule.low, rule.high)
+        else:
+            number = F.when(value.cast("double").between(rule.low, rule.high), value)
+        kind, bad = "violation", value.isNotNull() & number.isNull()
     return F.when(bad, F.struct(
         F.lit(rule.column).alias("column"), F.lit(kind).alias("kind"),
         value.cast("string").alias("value"),
@@ -43,7 +53,7 @@ def check_domains(df: DataFrame, rules: Sequence[Rule] = tuple(SURVEY_RULES)) ->
     """(column, kind, value, n) of the values the rules do not allow.
 
     ``violation`` breaks a closed list or a range, ``unlisted`` is new in an open list, ``damaged``
-    is a text-held list that cannot be read. NULL is never reported. A row is tested inside the
+    is a text-held list that cannot be read, ``unreadable`` a time or boolean that cannot. NULL is never reported. A row is tested inside the
     scan stage and only its findings are grouped, so clean rows are not shuffled.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -65,7 +75,7 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         value, dtype = F.col(name), types[name]
         nulls = F.count_if(value.isNull())
         if isinstance(dtype, T.StringType):
-            empty, declined = F.count_if(F.btrim(value) == ""), F.count_if(value == NO_ANSWER)
+            empty, declined = F.count_if(strip(value) == ""), F.count_if(value == NO_ANSWER)
         elif isinstance(dtype, T.ArrayType):
             empty, declined = F.count_if(F.size(value) == 0), F.lit(0)
         else:

@@ -32,15 +32,19 @@ def join_feedback(
 
 
 def respondent_sets(a: DataFrame, b: DataFrame, op: str, id: str = "id") -> DataFrame:
-    """Distinct ids of both (and), of a alone (minus) or of either (or)."""
-    left, right = a.select(id).distinct(), b.select(id).distinct()
-    if op == "and":
-        return left.join(right, id, "left_semi")
-    if op == "minus":
-        return left.join(right, id, "left_anti")
-    if op == "or":
-        return left.union(right).distinct()
-    raise ValueError(f"op is 'and', 'minus' or 'or', not {op!r}")
+    """Distinct ids of both (and), of a alone (minus) or of either (or), from one grouping of both sides."""
+    tagged = a.select(id, F.lit(True).alias("_a")).union(b.select(id, F.lit(False)))
+    return respondents_where(tagged, F.col("_a"), ~F.col("_a"), op, id)
+
+
+def respondents_where(df: DataFrame, a: Column, b: Column, op: str, id: str = "id") -> DataFrame:
+    """The same for the rows of one table, read once, where ``a`` holds and where ``b`` holds."""
+    keep = {"and": F.col("_in_a") & F.col("_in_b"), "minus": F.col("_in_a") & ~F.col("_in_b"), "or": F.lit(True)}
+    if op not in keep:
+        raise ValueError(f"op is 'and', 'minus' or 'or', not {op!r}")
+    sides = df.filter(a | b).groupBy(id).agg(
+        F.coalesce(F.bool_or(a), F.lit(False)).alias("_in_a"), F.coalesce(F.bool_or(b), F.lit(False)).alias("_in_b"))
+    return sides.filter(keep[op] & F.col(id).isNotNull() if op == "and" else keep[op]).select(id)
 
 
 def driver_gap(
@@ -85,7 +89,8 @@ def co_occurrence(
     ``df`` has one row per respondent and ``confidence`` is that of b given a. Only pairs with at
     least ``min_n`` respondents are reported, which allows three exact savings:
 
-    * equal answers are counted once, with the number of respondents as weight ``w``;
+    * equal answers are counted once, with the number of respondents as weight ``w``, under a number of
+      their own, so ids may be missing or repeated;
     * an option with fewer respondents than min_n is in no reported pair and goes first;
     * a reported pair has min_n respondents, so if the min_n - 1 widest answers are set aside, some
       other answer still shows it. Those widest ones never list their pairs, they are only looked
@@ -98,7 +103,7 @@ def co_occurrence(
     answered = df.filter(F.col(options).isNotNull())
     answers = _written(
         answered.groupBy(F.array_sort(F.array_compact(F.array_distinct(options))).alias("_set"))
-        .agg(F.count(F.lit(1)).alias("w"), F.min(id).alias("key"))
+        .agg(F.count(F.lit(1)).alias("w")).withColumn("key", F.monotonically_increasing_id())
     )
     base = answers.agg(F.sum("w")).scalar().cast("double")
     entries = answers.select("key", "w", F.explode("_set").alias("option"))

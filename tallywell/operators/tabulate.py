@@ -143,20 +143,21 @@ def price_acceptance(
     df: DataFrame, order: Sequence[str] = tuple(PRICE_BANDS), intent: str = "purchase_intent",
     band: str = "price_band",
 ) -> DataFrame:
-    """(intent, band, n, cum_share): share of the intent that accepts this band or a dearer one.
+    """(intent, band, n, cum_share, unlisted_share): share of the intent that accepts this band or a dearer one.
 
-    Bands outside ``order`` have no rank and are left out; the domain check lists them.
+    Each intent has a row for every listed band, also one that nobody chose. The base are all responses that
+    name a band, so bands outside ``order`` show as ``unlisted_share``.
     """
-    cells = (
-        _cells(df, F.col(intent).alias("intent"), F.col(band).alias("band"))
-        .withColumn("_rank", rank_of(F.col("band"), order)).filter(F.col("_rank").isNotNull())
-    )
-    dearer = (Window.partitionBy("intent").orderBy(F.desc("_rank"))
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return cells.select(
-        "intent", "band", "n",
-        share(F.sum("n").over(dearer), F.sum("n").over(Window.partitionBy("intent"))).alias("cum_share"),
-    )
+    b = F.col(band)
+    counted = df.groupBy(F.col(intent).alias("intent")).agg(
+        F.array(*[F.count_if(b == code) for code in order]).alias("_n"), F.count(b).alias("_base"))
+    total = lambda counts: F.aggregate(counts, F.lit(0).cast("bigint"), lambda x, y: x + y)
+    rows = F.array(*[
+        F.struct(F.lit(code).alias("band"), F.col("_n")[i].alias("n"),
+                 share(total(F.slice("_n", i + 1, len(order))), F.col("_base")).alias("cum_share"))
+        for i, code in enumerate(order)])
+    unlisted = share(F.col("_base") - total(F.col("_n")), F.col("_base")).alias("unlisted_share")
+    return counted.select("intent", unlisted, F.inline(rows)).select("intent", "band", "n", "cum_share", "unlisted_share")
 
 
 def association(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -189,9 +190,17 @@ def association(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def pivot_table(df: DataFrame, row: str, column: str, codes: Sequence[str]) -> DataFrame:
-    """Wide counts, one column per code. The codes are given, so no extra job looks for them."""
-    return df.groupBy(row).pivot(column, list(codes)).agg(F.count(F.lit(1))).na.fill(0, list(codes))
+def pivot_table(
+    df: DataFrame, row: str, column: str, codes: Sequence[str], other: str = "(other)", missing: str = "(missing)"
+) -> DataFrame:
+    """Wide counts, one column per code, and one each for other codes and for none; they add up to the rows.
+
+    The codes are given, so no extra job looks for them.
+    """
+    value = F.col(column)
+    return df.groupBy(row).agg(
+        *[F.count_if(value == code).alias(code) for code in codes],
+        F.count_if(~value.isin(*codes)).alias(other), F.count_if(value.isNull()).alias(missing))
 
 
 def segment_index(
@@ -211,24 +220,38 @@ def segment_index(
     )
 
 
+UNITS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH"}
+
+
 def trend(
     df: DataFrame, unit: str = "week", k: int = 3, by: str | None = None,
     time: str = "submitted_at", score: str = "satisfaction_int",
 ) -> DataFrame:
     """(by, bucket, n, mean_score, delta, ma) per day, week or month.
 
-    ``delta`` is the change of n against the bucket before and ``ma`` the mean n of this bucket and
-    the k before it. The windows run over buckets, whose number is set by the time span.
+    A series has a bucket for every unit from its first to its last, with n = 0 where nobody answered. ``delta`` is
+    the change of n against the bucket before and ``ma`` the mean n of this bucket and the k before it. The
+    windows run over buckets, whose number is set by the time span.
     """
-    keys = [F.date_trunc(unit, F.col(time)).alias("bucket")]
-    keys += [F.col(by)] if by else []
+    if unit not in UNITS:
+        raise ValueError(f"unit is one of {', '.join(UNITS)}, not {unit!r}")
+    keys = [by] if by else []
     series = Window.partitionBy(by if by else F.lit(0)).orderBy("bucket")
-    buckets = (
-        df.filter(F.col(time).isNotNull()).groupBy(*keys)
+    found = (
+        df.filter(F.col(time).isNotNull()).groupBy(*keys, F.date_trunc(unit, F.col(time)).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"))
     )
+    spans = found.groupBy(*keys).agg(F.min("bucket").alias("_a"), F.max("bucket").alias("_b")).filter(F.col("_a").isNotNull())
+    every = spans.select(*[F.col(c).alias("_by") for c in keys],
+                         F.explode(F.sequence("_a", "_b", F.expr(UNITS[unit]))).alias("_bucket"))
+    same = F.col("_bucket") == F.col("bucket")
+    if by:
+        same = same & F.col("_by").eqNullSafe(F.col(by))
+    buckets = every.join(found, same, "left").select(
+        *[F.col("_by").alias(c) for c in keys], F.col("_bucket").alias("bucket"),
+        F.coalesce("n", F.lit(0)).alias("n"), "mean_score")
     return buckets.select(
-        *([by] if by else []), "bucket", "n", "mean_score",
+        *keys, "bucket", "n", "mean_score",
         (F.col("n") - F.lag("n").over(series)).alias("delta"),
         F.avg("n").over(series.rowsBetween(-k, 0)).alias("ma"),
     )

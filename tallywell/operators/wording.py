@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.functions.text import char_ngrams, snippet
+from tallywell.functions.text import char_ngrams, place_of, snippet
 
 
 def phrase_topk(df: DataFrame, phrases: str, k: int) -> DataFrame:
@@ -42,19 +42,20 @@ def ngram_counts(df: DataFrame, n: int = 2, text: str = "free_comment") -> DataF
 def distinctive_terms(df: DataFrame, segment: str, terms: Column, k: int) -> DataFrame:
     """(segment, term, n, tfidf, rank): tf-idf with each segment as one document.
 
-    The top k are cut in every task before the last exchange, so one large segment does not end up
-    in one task with all of its terms.
+    Up to a k of 1,000 Spark cuts the top k in every task before the last exchange; beyond it, a segment's terms
+    meet in one task. A segment whose comments are all empty does not count as one.
     """
     df = df.filter(F.col(segment).isNotNull())
     counts = (
         df.select(F.col(segment).alias("segment"), F.explode(terms).alias("term"))
         .groupBy("segment", "term").agg(F.count(F.lit(1)).alias("n"))
     )
-    segments = df.agg(F.countDistinct(segment)).scalar().cast("double")
-    spread = F.count(F.lit(1)).over(Window.partitionBy("term"))
+    segments = counts.agg(F.countDistinct("segment")).scalar().cast("double")
+    # Joined and not windowed: a term of very many segments would fill one task.
+    spread = counts.groupBy(F.col("term").alias("_term")).agg(F.count(F.lit(1)).alias("_df"))
     ranked = Window.partitionBy("segment").orderBy(F.desc("tfidf"), "term")
     return (
-        counts.withColumn("_df", spread)
+        counts.join(spread, F.col("term") == F.col("_term"))
         .withColumn("tfidf", F.round(F.col("n") * F.ln(segments / (1 + F.col("_df"))), 6))
         .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
         .select("segment", "term", "n", "tfidf", F.col("rank").cast("bigint").alias("rank"))
@@ -66,7 +67,7 @@ def comment_search(
 ) -> DataFrame:
     """The rows whose comment holds the term, with a ``snippet`` around its first place."""
     return (
-        df.filter(F.lower(F.col(text)).contains(term.lower()))
+        df.filter(place_of(F.col(text), term) > 0)
         .withColumn("snippet", snippet(F.col(text), term, width))
     )
 

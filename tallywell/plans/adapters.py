@@ -32,20 +32,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def files_of_small(df: DataFrame) -> list[str] | None:
-    """The files of a scan of at most two splits per core; None for a larger one."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.inputFiles() if df.rdd.getNumPartitions() <= 2 * cores else None
-
-
-def spread(df: DataFrame, id: str = "id") -> DataFrame:
-    """Even out a small scan that comes from fewer files than there are cores, by its key.
-
-    A file of one row group is read by one task however many splits it has. The exchange is small
-    whatever the cluster, since a larger scan is left alone.
-    """
-    cores, files = df.sparkSession.sparkContext.defaultParallelism, files_of_small(df)
-    return df.repartition(cores, id) if files is not None and len(files) < cores else df
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any store that Spark reads is a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
 
 
 def answers(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -98,8 +88,8 @@ def multi_answers(spark: SparkSession, folder: str) -> DataFrame:
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """(id, segment, free_comment) from the documents."""
     docs = table(spark, folder, "documents")
-    return spread(docs.select(
-        F.col("doc_id").alias("id"), F.col("lang").alias("segment"), F.col("text").alias("free_comment")))
+    return docs.select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("segment"), F.col("text").alias("free_comment"))
 
 
 def timeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,9 +103,8 @@ def arriving(spark: SparkSession, folder: str) -> DataFrame:
     """The timeline as a stream, with every third response sent twice."""
     events = table(spark, folder, "events")
     reader = spark.readStream.schema(events.schema)
-    files = files_of_small(events) or []
-    if len(files) == 1 and files[0].endswith("/events.parquet"):
-        # The table is a file and not a folder; a stream reads folders.
+    if not is_folder(spark, f"{folder}/events.parquet"):
+        # The table is a file; a stream reads folders.
         events = reader.option("pathGlobFilter", "events.parquet").parquet(folder)
     else:
         events = reader.parquet(f"{folder}/events.parquet")

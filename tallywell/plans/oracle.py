@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from tallywell.functions.lexicon import Lexicon
-from tallywell.plans.adapters import NEGATIVE, POSITIVE, PRICE_CODES, SCENE
-from tallywell.plans.queries import GATE, SEARCH_TERM
-from tallywell.schema import CATEGORIES, REGIONS, SURVEY_SCHEMA
-from tallywell.schema import OCCUPATIONS, PRICE_BANDS
+# Written out, so that a wrong value in the code under test shows.
+POSITIVE = [("the", "Appearance", 1), ("of", "Aroma", 2), ("de", "Flavor", 1), ("der", "Flavor", 2),
+            ("la", "PriceValue", 1), ("is", "Availability", 3)]
+NEGATIVE = [("and", "Flavor", 1), ("to", "PackagingDesign", 2), ("que", "Aroma", 2), ("le", "PriceValue", 1),
+            ("und", "ShelfLifeStorage", 2), ("die", "Appearance", 1), ("it", "SocialAcceptability", 3)]
+SCENE = [(t, None, 1) for t in ("with", "for", "mit", "por", "pour", "dans")]
+PRICE_CODES = ["under100k", "100k_199k", "200k_299k", "300kplus"]
+GATE, SEARCH_TERM = 0.6, "thes"
+CATEGORIES = ["Appearance", "Aroma", "Flavor", "MouthfeelCarbonation", "DrinkabilityAftertaste", "ABV", "CaloriesCarbs",
+              "AdditivesAllergen", "Ingredients", "PackagingDesign", "PackServingFormat", "ShelfLifeStorage", "PriceValue",
+              "Availability", "PromotionVisibility", "BrandImageStory", "SocialAcceptability", "SustainabilityEthics"]
+REGIONS = ["hokkaido_to_hoku", "kanto", "chubu", "kinki", "chugoku_shikoku", "kyushu_okinawa", "overseas", "no_answer"]
+OCCUPATIONS = ["company_employee", "student", "homemaker", "other"]
+PRICE_BANDS = ["under199", "200_249", "250_299", "300_349", "350plus"]
+SURVEY_COLUMNS = [
+    "id", "submitted_at", "age_group", "gender", "occupation", "region", "drives_weekly", "drinking_freq", "fav_alcohols_arr",
+    "nonalc_freq", "health_reasons_arr", "purchase_intent", "price_band", "satisfaction_int", "free_comment", "positive_point",
+    "negative_feedback", "scene", "positive_point_category", "positive_point_confidence", "negative_feedback_category",
+    "negative_feedback_confidence"]
+Terms = list[tuple[str, str | None, int]]
 
 A1 = """a1 AS (
   SELECT o_orderkey AS id, o_orderdate AS submitted_at,
@@ -30,8 +45,8 @@ def _list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def _terms(lexicon: Lexicon) -> str:
-    return "(VALUES " + ", ".join(f"('{t}', '{lab}', {w})" for t, lab, w in lexicon.entries) + ") lex(term, label, weight)"
+def _terms(lexicon: Terms) -> str:
+    return "(VALUES " + ", ".join(f"('{t}', '{lab}', {w})" for t, lab, w in lexicon) + ") lex(term, label, weight)"
 
 
 LABELS = "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(CATEGORIES, 1)) + ") labels18(label_no, label)"
@@ -42,23 +57,23 @@ SENTENCES = f"""sentence AS (
       lambda x: trim(x, {BLANKS})), lambda x: length(x) > 0) AS ss FROM documents))"""
 
 
-def _found(lexicon: Lexicon, name: str) -> str:
+def _found(lexicon: Terms, name: str) -> str:
     """Sentences with a term, once each, with the place they first stand at."""
     return f"""{name} AS (
   SELECT id, phrase, min(no) AS no FROM sentence
   WHERE len(list_filter(string_split_regex(lower(phrase), '{WORD}'),
-    lambda w: list_contains([{_list(lexicon.terms)}], w))) > 0
+    lambda w: list_contains([{_list(t for t, _, _ in lexicon)}], w))) > 0
   GROUP BY id, phrase)"""
 
 
-def _phrases(lexicon: Lexicon) -> str:
+def _phrases(lexicon: Terms) -> str:
     return f"""WITH {SENTENCES}, {_found(lexicon, 'found')},
     joined AS (SELECT id, count(*) AS n, string_agg(phrase, ' | ' ORDER BY no) AS phrases FROM found GROUP BY id)
     SELECT doc_id AS id, coalesce(n, 0) AS n, coalesce(phrases, '') AS phrases
     FROM documents LEFT JOIN joined ON doc_id = id"""
 
 
-def _label(lexicon: Lexicon, name: str) -> str:
+def _label(lexicon: Terms, name: str) -> str:
     """(id, category, confidence) of documents with a hit."""
     return f"""{name}_score AS (
       SELECT id, label, CAST(sum(weight) AS BIGINT) AS score
@@ -96,11 +111,11 @@ def _completeness() -> str:
             "purchase_intent", "price_band"}
     text = {"gender", "occupation", "region", "purchase_intent", "price_band"}
     rows = []
-    for c in SURVEY_SCHEMA.fieldNames():
+    for c in SURVEY_COLUMNS:
         if c not in have:
             rows.append(f"SELECT '{c}' AS \"column\", count(*) AS n, 1.0::DOUBLE AS null_rate, 0.0::DOUBLE AS empty_rate, 0.0::DOUBLE AS na_rate FROM a1")
             continue
-        empty = f"avg(CASE WHEN trim({c}) = '' THEN 1.0 ELSE 0.0 END)" if c in text else "0.0::DOUBLE"
+        empty = f"avg(CASE WHEN trim({c}, {BLANKS}) = '' THEN 1.0 ELSE 0.0 END)" if c in text else "0.0::DOUBLE"
         na = f"avg(CASE WHEN {c} = 'no_answer' THEN 1.0 ELSE 0.0 END)" if c in text else "0.0::DOUBLE"
         rows.append(f"SELECT '{c}' AS \"column\", count(*) AS n, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate, "
                     f"round({empty}, 6) AS empty_rate, round({na}, 6) AS na_rate FROM a1")
@@ -108,10 +123,14 @@ def _completeness() -> str:
 
 
 def _trend(unit: str, k: int, by: bool) -> str:
-    label, part = ("label, ", "PARTITION BY label ") if by else ("", "")
-    return f"""WITH b AS (
+    label, part, same = ("label, ", "PARTITION BY label ", "AND f.label = e.label") if by else ("", "", "")
+    return f"""WITH f AS (
       SELECT {'event_type AS label, ' if by else ''}date_trunc('{unit}', ts) AS bucket, count(*) AS n, avg(value) AS mean_score
-      FROM events GROUP BY ALL)
+      FROM events GROUP BY ALL),
+    e AS (SELECT {label}unnest(generate_series(min(bucket)::TIMESTAMP, max(bucket)::TIMESTAMP, INTERVAL 1 {unit})) AS bucket
+      FROM f {'GROUP BY label' if by else ''}),
+    b AS (SELECT {'e.label AS label, ' if by else ''}e.bucket AS bucket, coalesce(n, 0) AS n, mean_score
+      FROM e LEFT JOIN f ON f.bucket = e.bucket {same})
     SELECT {label}strftime(bucket, '%Y-%m-%d') AS bucket, n, round(mean_score, 6) AS mean_score,
       n - lag(n) OVER ({part}ORDER BY bucket) AS delta,
       round(avg(n) OVER ({part}ORDER BY bucket ROWS BETWEEN {k} PRECEDING AND CURRENT ROW), 6) AS ma FROM b"""
@@ -178,7 +197,33 @@ ORACLE_SQL = {
     "r11_extract_scene": _phrases(SCENE),
     "r12_classify_positive": f"""WITH {LABELLED} SELECT id, pos_category AS positive_point_category FROM labelled""",
     "r12_classify_long_list": f"""WITH {_label(POSITIVE, 'pos')}
-      SELECT id, category AS positive_point_category, confidence FROM pos""",
+      SELECT doc_id AS id, category AS positive_point_category, confidence FROM documents LEFT JOIN pos ON doc_id = id""",
+    "r09_extract_long_list": _phrases(POSITIVE),
+    "r16_feedback_rows_long_list": f"""WITH {FEEDBACK} SELECT * FROM feedback""",
+    "r01_scan_survey_all": f"""WITH {A1}, {A2}, o AS (
+        SELECT id, string_agg(option, '|' ORDER BY option) AS o, min(option) AS first FROM a2 GROUP BY id)
+      SELECT a1.id AS id, strftime(submitted_at, '%Y-%m-%d %H:%M:%S') AS submitted_at,
+        CASE WHEN a1.id % 3 = 0 THEN '20s' ELSE '60plus' END AS age_group, gender, occupation, region, drives_weekly,
+        'weekly' AS drinking_freq, o AS fav_alcohols_arr, 'sometimes' AS nonalc_freq, first AS health_reasons_arr,
+        purchase_intent, price_band, satisfaction_int, 'No. ' || a1.id AS free_comment, o AS positive_point,
+        o AS negative_feedback, CASE WHEN a1.id % 2 = 1 THEN o END AS scene, 'Aroma' AS positive_point_category,
+        CASE WHEN a1.id % 13 <= 10 THEN (a1.id % 13) / 10.0::DOUBLE END AS positive_point_confidence,
+        'ABV' AS negative_feedback_category, (a1.id % 7) / 10.0::DOUBLE AS negative_feedback_confidence
+      FROM a1 JOIN o ON a1.id = o.id""",
+    "r18_check_raw_answers": """WITH r AS (SELECT o_orderkey % 10 AS k, substr(o_orderpriority, 1, 1) AS d FROM orders),
+      f AS (SELECT 'submitted_at' AS "column", 'unreadable' AS kind, CASE k WHEN 0 THEN 'n/a' ELSE '2024-13-01' END AS value FROM r WHERE k < 2
+        UNION ALL SELECT 'drives_weekly', 'unreadable', 'maybe so' FROM r WHERE k = 2
+        UNION ALL SELECT 'satisfaction_int', 'violation', d || CASE k WHEN 3 THEN '.5' ELSE '0' END FROM r WHERE k IN (3, 5))
+      SELECT "column", kind, value, count(*) AS n FROM f GROUP BY ALL""",
+    "b08_price_acceptance_unlisted": f"""WITH {A1}, i AS (SELECT DISTINCT purchase_intent AS intent FROM a1),
+      o AS (SELECT unnest(['free', 'under100k', '100k_199k', '200k_299k']) AS band, unnest([1, 2, 3, 4]) AS r),
+      t AS (SELECT purchase_intent AS intent, count(*) AS base, count(*) FILTER (WHERE price_band = '300kplus') AS odd FROM a1 GROUP BY 1),
+      c AS (SELECT i.intent, o.band, o.r, (SELECT count(*) FROM a1 WHERE purchase_intent = i.intent AND price_band = o.band) AS n FROM i CROSS JOIN o)
+      SELECT c.intent AS intent, band, n, round(sum(n) OVER (PARTITION BY c.intent ORDER BY r DESC ROWS UNBOUNDED PRECEDING) / base, 6) AS cum_share,
+        round(odd / base, 6) AS unlisted_share FROM c JOIN t ON t.intent = c.intent""",
+    "b10_pivot_table_unlisted": f"""WITH {A1} SELECT region, count(*) FILTER (WHERE gender = 'female') AS female,
+      count(*) FILTER (WHERE gender = '0.00%') AS "0.00%", count(*) FILTER (WHERE gender NOT IN ('female', '0.00%')) AS "(other)",
+      count(*) FILTER (WHERE gender IS NULL) AS "(missing)" FROM a1 GROUP BY region""",
     "r13_classify_negative": f"""WITH {LABELLED} SELECT id, neg_category AS negative_feedback_category FROM labelled""",
     "r14_confidence_positive": f"""WITH {LABELLED} SELECT id, pos_confidence AS positive_point_confidence FROM labelled""",
     "r15_confidence_negative": f"""WITH {LABELLED} SELECT id, neg_confidence AS negative_feedback_confidence FROM labelled""",
@@ -228,7 +273,7 @@ ORACLE_SQL = {
       SELECT purchase_intent AS intent, price_band AS band, count(*) AS n,
         list_position([{_list(PRICE_CODES)}], price_band) AS r FROM a1 GROUP BY ALL)
       SELECT intent, band, n, round(sum(n) OVER (PARTITION BY intent ORDER BY r DESC ROWS UNBOUNDED PRECEDING)
-        / sum(n) OVER (PARTITION BY intent), 6) AS cum_share FROM c""",
+        / sum(n) OVER (PARTITION BY intent), 6) AS cum_share, 0.0::DOUBLE AS unlisted_share FROM c""",
     "b09_association": f"""WITH {A1}, r AS (SELECT region, count(*) AS rn FROM a1 GROUP BY ALL),
       c AS (SELECT price_band, count(*) AS cn FROM a1 GROUP BY ALL), t AS (SELECT count(*) AS n FROM a1),
       o AS (SELECT region, price_band, count(*) AS o FROM a1 GROUP BY ALL),
@@ -238,7 +283,8 @@ ORACLE_SQL = {
       SELECT n, round(chi2, 6) AS chi2, (SELECT (count(*) - 1) FROM r) * (SELECT count(*) - 1 FROM c) AS dof,
         round(sqrt(chi2 / (n * least((SELECT count(*) - 1 FROM r), (SELECT count(*) - 1 FROM c)))), 6) AS v FROM x""",
     "b10_pivot_table": f"""WITH {A1} SELECT region, {", ".join(
-        f'count(*) FILTER (WHERE price_band = {chr(39)}{c}{chr(39)}) AS "{c}"' for c in PRICE_CODES)} FROM a1 GROUP BY region""",
+        f'count(*) FILTER (WHERE price_band = {chr(39)}{c}{chr(39)}) AS "{c}"' for c in PRICE_CODES)}, 0 AS "(other)",
+        count(*) FILTER (WHERE price_band IS NULL) AS "(missing)" FROM a1 GROUP BY region""",
     "b11_category_balance": f"""WITH {LABELLED}, p AS (SELECT pos_category AS label, count(*) AS pos FROM labelled GROUP BY 1),
       q AS (SELECT neg_category AS label, count(*) AS neg FROM labelled GROUP BY 1)
       SELECT CAST(label_no AS INTEGER) AS label_no, l.label AS label, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg,

@@ -53,6 +53,30 @@ def r01_scan_survey(spark, folder):
     return df.select(*ANSWER_COLUMNS).withColumn("submitted_at", F.date_format("submitted_at", SECONDS))
 
 
+@query
+def r01_scan_survey_all(spark, folder):
+    """All columns: written with lists and numbers held as text, scanned back, and listed as texts."""
+    key = F.col("id")
+    options = multi_answers(spark, folder).withColumnRenamed("options", "_o")
+    df = answers(spark, folder, *ANSWER_COLUMNS).join(options, "id")
+    as_json, as_text = F.to_json("_o"), F.array_join("_o", "、")
+    stored = df.withColumns({
+        "age_group": F.when(key % 3 == 0, "20s").otherwise("60plus"), "drinking_freq": F.lit("weekly"),
+        "fav_alcohols_arr": F.col("_o"), "nonalc_freq": F.lit("sometimes"), "health_reasons_arr": F.slice("_o", 1, 1),
+        "free_comment": F.concat(F.lit("No. "), key.cast("string")), "positive_point": as_json,
+        "negative_feedback": as_text, "scene": F.when(key % 2 == 0, F.concat(as_json, F.lit(" junk"))).otherwise(as_json),
+        "positive_point_category": F.lit("Aroma"), "negative_feedback_category": F.lit("ABV"),
+        "positive_point_confidence": (key % 13 / 10).cast("decimal(3,1)").cast("string"),
+        "negative_feedback_confidence": (key % 7 / 10).cast("decimal(3,1)").cast("string"),
+    }).drop("_o")
+    path = scratch_path(spark, "survey")
+    survey.write_survey(stored, path)
+    df = survey.scan_survey(spark, path)
+    lists = [c for c, kind in df.dtypes if kind.startswith("array")]
+    return df.withColumns({c: F.array_join(c, "|") for c in lists}).withColumn(
+        "submitted_at", F.date_format("submitted_at", SECONDS))
+
+
 @query
 def r02_scan_dictionary(spark, folder):
     """Whole documents as dictionary comments: written as CSV with line breaks, then scanned."""
@@ -128,6 +152,19 @@ def r18_check_domains(spark, folder):
     return quality.check_domains(df, SEGMENT_RULES)
 
 
+@query
+def r18_check_raw_answers(spark, folder):
+    """Times, booleans and scores as they come in: what typing would lose is listed."""
+    key = F.col("o_orderkey")
+    digit = F.substring("o_orderpriority", 1, 1)
+    raw = table(spark, folder, "orders").select(
+        F.when(key % 10 == 0, "n/a").when(key % 10 == 1, "2024-13-01").otherwise(F.date_format("o_orderdate", SECONDS)).alias("submitted_at"),
+        F.when(key % 10 == 2, "maybe so").when(key % 2 == 0, "Yes").otherwise("no").alias("drives_weekly"),
+        F.when(key % 10 == 3, F.concat(digit, F.lit(".5"))).when(key % 10 == 4, F.concat(digit, F.lit(".0"))).when(
+            key % 10 == 5, F.concat(digit, F.lit("0"))).otherwise(digit).alias("satisfaction_int"))
+    return quality.check_domains(raw)
+
+
 @query
 def r19_reconcile_types(spark, folder):
     """Options as JSON, as separated text or cut off, by id; confidences from 0.00 to 1.29."""
@@ -180,13 +217,26 @@ def r12_classify_positive(spark, folder):
 @query
 def r12_classify_long_list(spark, folder):
     """The same labels by joining the words to a list that stays a table."""
-    docs = comments(spark, folder)
     terms = spark.createDataFrame(POSITIVE.entries, long_lists.LIST_SCHEMA)
-    chosen = labelling.choose_label(long_lists.word_scores(docs, terms))
-    return rounded(chosen.select("id", F.col("category").alias("positive_point_category"), "confidence"),
+    df = long_lists.classify(comments(spark, folder), terms, "positive_point")
+    return rounded(df.select("id", "positive_point_category", F.col("positive_point_confidence").alias("confidence")),
                    "confidence")
 
 
+@query
+def r09_extract_long_list(spark, folder):
+    terms = spark.createDataFrame(POSITIVE.entries, long_lists.LIST_SCHEMA)
+    df = long_lists.extract(comments(spark, folder), terms, "phrases")
+    return df.select("id", F.size("phrases").cast("bigint").alias("n"),
+                     F.array_join("phrases", " | ").alias("phrases"))
+
+
+@query
+def r16_feedback_rows_long_list(spark, folder):
+    good, bad = (spark.createDataFrame(x.entries, long_lists.LIST_SCHEMA) for x in (POSITIVE, NEGATIVE))
+    return long_lists.feedback_rows(comments(spark, folder), good, bad)
+
+
 @query
 def r13_classify_negative(spark, folder):
     df = labelling.classify(comments(spark, folder), NEGATIVE, "negative_feedback")
@@ -298,7 +348,15 @@ def b07_purchase_rate(spark, folder):
 @query
 def b08_price_acceptance(spark, folder):
     df = answers(spark, folder, "purchase_intent", "price_band")
-    return rounded(tabulate.price_acceptance(df, PRICE_CODES), "cum_share")
+    return rounded(tabulate.price_acceptance(df, PRICE_CODES), "cum_share", "unlisted_share")
+
+
+@query
+def b08_price_acceptance_unlisted(spark, folder):
+    """With the dearest band left out of the order and one that nobody chose."""
+    df = answers(spark, folder, "purchase_intent", "price_band")
+    order = ["free", *PRICE_CODES[:3]]
+    return rounded(tabulate.price_acceptance(df, order), "cum_share", "unlisted_share")
 
 
 @query
@@ -313,6 +371,12 @@ def b10_pivot_table(spark, folder):
     return tabulate.pivot_table(df, "region", "price_band", PRICE_CODES)
 
 
+@query
+def b10_pivot_table_unlisted(spark, folder):
+    df = answers(spark, folder, "region", "gender")
+    return tabulate.pivot_table(df, "region", "gender", ["female", "0.00%"])
+
+
 @query
 def b11_category_balance(spark, folder):
     return rounded(labelling.category_balance(labelled(spark, folder)), "net")
@@ -394,16 +458,12 @@ def b19_driver_gap(spark, folder):
     return rounded(relate.driver_gap(df, "occupation"), "gap", "t")
 
 
-def _respondents(spark, folder, part_type):
-    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey")
-    parts = table(spark, folder, "part").filter(F.col("p_type") == part_type).select("p_partkey")
-    return lines.join(parts, lines.l_partkey == parts.p_partkey).select("id")
-
-
 def _set_query(op):
     def run(spark, folder):
-        return relate.respondent_sets(
-            _respondents(spark, folder, "PROMO"), _respondents(spark, folder, "ECONOMY"), op)
+        lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey")
+        parts = table(spark, folder, "part").select("p_partkey", "p_type")
+        df = lines.join(parts, lines.l_partkey == parts.p_partkey)
+        return relate.respondents_where(df, F.col("p_type") == "PROMO", F.col("p_type") == "ECONOMY", op)
     return run
 
 

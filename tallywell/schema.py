@@ -99,7 +99,7 @@ NUMBERS_AS_TEXT = ["positive_point_confidence", "negative_feedback_confidence"]
 
 @dataclass(frozen=True)
 class Rule:
-    """What one column may hold: a code list (closed or open), a range, or a text-held list."""
+    """What one column may hold: a code list (closed or open), a range, a text-held list, or a time or boolean."""
 
     column: str
     codes: tuple[str, ...] = ()
@@ -107,6 +107,8 @@ class Rule:
     low: float | None = None
     high: float | None = None
     text_list: bool = False
+    whole: bool = False
+    typed: str | None = None
 
 
 SURVEY_RULES = [
@@ -118,7 +120,9 @@ SURVEY_RULES = [
     Rule("nonalc_freq", tuple(NONALC_FREQS)),
     Rule("purchase_intent", tuple(PURCHASE_INTENTS)),
     Rule("price_band", tuple(PRICE_BANDS), closed=False),
-    Rule("satisfaction_int", low=1, high=5),
+    Rule("satisfaction_int", low=1, high=5, whole=True),
+    Rule("submitted_at", typed="timestamp"),
+    Rule("drives_weekly", typed="boolean"),
     Rule("positive_point_category", tuple(CATEGORIES)),
     Rule("positive_point_confidence", low=0.0, high=1.0),
     Rule("negative_feedback_category", tuple(CATEGORIES)),

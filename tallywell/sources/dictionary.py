@@ -16,7 +16,6 @@ CSV_OPTIONS = {
     "header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-MAX_RULES = 10_000
 
 
 def scan_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -69,9 +68,7 @@ def rules_of(dictionary: DataFrame) -> list[Rule]:
         (F.length(examples) == 0).alias("closed"),
         bounds(1).alias("low"), bounds(2).alias("high"),
     ).filter(F.col("codes").isNotNull() | F.col("low").isNotNull())
-    rows = found.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"a dictionary of more than {MAX_RULES} rules is not a dictionary")
+    rows = found.collect()
     return [
         Rule(r.column_name, tuple(r.codes), closed=r.closed) if r.codes
         else Rule(r.column_name, low=r.low, high=r.high)

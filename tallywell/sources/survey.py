@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywell.functions.answers import multi_select, text_list, to_boolean, to_number
-from tallywell.functions.answers import to_satisfaction, to_submitted_at
+from tallywell.functions.answers import to_satisfaction, to_submitted_at, whole_number
 from tallywell.schema import SURVEY_RULES, SURVEY_SCHEMA
 
 
@@ -17,7 +17,12 @@ BOUNDS = {r.column: (r.low, r.high) for r in SURVEY_RULES if r.low is not None}
 
 
 def _typed(name: str, have: T.DataType, want: T.DataType) -> Column:
-    column = F.col(name)
+    column, bounds = F.col(name), BOUNDS.get(name, ())
+    if isinstance(have, T.NumericType) and isinstance(want, T.IntegerType):
+        return whole_number(column.cast("double"), *bounds)
+    if isinstance(have, T.NumericType) and isinstance(want, T.DoubleType) and bounds:
+        number = column.cast("double")
+        return F.when(number.between(*bounds), number)
     if have == want:
         return column
     if isinstance(have, T.StringType):
@@ -28,7 +33,7 @@ def _typed(name: str, have: T.DataType, want: T.DataType) -> Column:
         if isinstance(want, T.IntegerType):
             return to_satisfaction(column)
         if isinstance(want, T.DoubleType):
-            return to_number(column, *BOUNDS.get(name, ()))
+            return to_number(column, *bounds)
         if isinstance(want, T.ArrayType):
             return text_list(column)
     return column.try_cast(want)

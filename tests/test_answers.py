@@ -15,8 +15,8 @@ def test_multi_select(spark):
 
 
 def test_satisfaction(spark):
-    texts = ["4", " 4 ", "４", "4.0", "6", "0", "abc", "", None]
-    assert values(spark, texts, a.to_satisfaction) == [4, 4, 4, None, None, None, None, None, None]
+    texts = ["4", " 4 ", "４", "4.0", "4.5", "6", "0", "abc", "", None]
+    assert values(spark, texts, a.to_satisfaction) == [4, 4, 4, 4, None, None, None, None, None, None]
 
 
 def test_number_in_range(spark):
@@ -38,9 +38,10 @@ def test_submitted_at(spark):
 
 
 def test_text_list(spark):
-    texts = ['["泡","味"]', "泡, 味", "[]", '["泡"', None, "", ' ["a, b"]']
-    assert values(spark, texts, a.text_list) == [["泡", "味"], ["泡", "味"], [], None, None, [], ["a, b"]]
-    assert values(spark, texts, a.is_damaged_list) == [False, False, False, True, None, False, False]
+    texts = ['["泡","味"]', "泡, 味", "[]", '["泡"', None, "", ' ["a, b"]', '["a"] junk', '["泡","泡",""," a ",null]', '["a"], "w": 1']
+    assert values(spark, texts, a.text_list) == [
+        ["泡", "味"], ["泡", "味"], [], None, None, [], ["a, b"], None, ["泡", "a"], None]
+    assert values(spark, texts, a.is_damaged_list) == [False, False, False, True, None, False, False, True, False, True]
 
 
 def test_band_edges(spark):
@@ -62,6 +63,13 @@ def test_band_table_with_gap(spark):
         a.bands_of(table.union(spark.createDataFrame([(4.0, 6.0, "c")], table.schema)))
 
 
+def test_long_band_table(spark):
+    table = spark.createDataFrame([(float(i), i + 0.5, f"b{i}") for i in range(1000)], "low double, high double, code string")
+    df = spark.createDataFrame([(v,) for v in [-0.1, 0.0, 500.25, 500.5, 999.49, 999.5, float("nan")]], "v double")
+    got = [r[0] for r in df.select(a.band_from(F.col("v"), a.bands_of(table))).collect()]
+    assert got == [None, "b0", "b500", None, "b999", None, None]
+
+
 def test_rank_follows_the_documented_order(spark):
     order = ["under199", "200_249", "350plus"]
     assert values(spark, ["350plus", "under199", "x", None], lambda c: a.rank_of(c, order)) == [3, 1, None, None]

@@ -63,24 +63,33 @@ def test_feedback_rows(comments):
         (1, 1, "泡", "Appearance", 1), (1, 2, "泡", "Appearance", 1), (1, 3, "高い😀香り", "Aroma", 2)]
 
 
-@pytest.mark.parametrize("max_broadcast", [0, 1000])
-def test_long_list_of_substrings_equals_inline(spark, comments, max_broadcast):
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_long_list_of_substrings_equals_inline(spark, comments):
     table = spark.createDataFrame(GOOD.entries, long_lists.LIST_SCHEMA)
-    scores = long_lists.substring_scores(comments, table, max_broadcast=max_broadcast)
-    inline = by_id(labelling.classify(comments, GOOD, "p").filter("p_category IS NOT NULL"), "p_category", "p_confidence")
-    assert by_id(labelling.choose_label(scores), "category", "confidence") == inline
+    bad = spark.createDataFrame(BAD.entries, long_lists.LIST_SCHEMA)
+    assert rows_of(long_lists.classify(comments, table, "p", whole_words=False)) == rows_of(labelling.classify(comments, GOOD, "p"))
+    assert rows_of(long_lists.extract(comments, table, "p", whole_words=False)) == rows_of(labelling.extract(comments, GOOD, "p"))
+    assert rows_of(long_lists.feedback_rows(comments, table, bad, whole_words=False)) == rows_of(labelling.feedback_rows(comments, GOOD, BAD))
 
 
-@pytest.mark.parametrize("max_broadcast", [0, 1000])
-def test_long_list_of_words_equals_inline(spark, max_broadcast):
+def test_long_list_of_words_equals_inline(spark):
     words = Lexicon.of([("the", "Aroma", 1), ("é", "Flavor", 2), ("then", "ABV", 1)])
-    texts = ["The then the", "é é. other", "thethe", None, "then é"]
+    texts = ["The then the", "é é. other", "thethe", None, "then é", "", "the. the. Then"]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id bigint, free_comment string")
     table = spark.createDataFrame(words.entries, long_lists.LIST_SCHEMA)
-    scores = long_lists.word_scores(df, table, max_broadcast=max_broadcast)
-    inline = by_id(labelling.classify(df, words, "p").filter("p_category IS NOT NULL"), "p_category", "p_confidence")
-    assert by_id(labelling.choose_label(scores), "category", "confidence") == inline
-    assert set(inline) == {0, 1, 4}
+    assert rows_of(long_lists.classify(df, table, "p")) == rows_of(labelling.classify(df, words, "p"))
+    assert rows_of(long_lists.extract(df, table, "p")) == rows_of(labelling.extract(df, words, "p"))
+    assert rows_of(long_lists.feedback_rows(df, table, table)) == rows_of(labelling.feedback_rows(df, words, words))
+
+
+def test_a_table_with_very_many_labels_is_read_whole(spark):
+    labels = tuple(f"l{i}" for i in range(30))
+    entries = [(f"t{i}", lab, 1) for i in range(400) for lab in labels]
+    table = spark.createDataFrame(entries, long_lists.LIST_SCHEMA)
+    assert len(Lexicon.from_table(table, labels=labels).entries) == 12_000
 
 
 def test_a_number_with_a_point_stays_whole_with_japanese_sentence_ends(spark):

@@ -43,3 +43,18 @@ def test_completeness(spark):
 def test_completeness_of_an_empty_table(spark):
     got = quality.completeness(spark.createDataFrame([], "id int")).collect()
     assert [tuple(r) for r in got] == [("id", 0, None, None, None)]
+
+
+def test_what_typing_loses_is_found(spark):
+    df = spark.createDataFrame(
+        [("4.0", "2024-01-01", "yes"), ("4.5", "n/a", "maybe so"), ("abc", "2024-13-01", "x"), ("9", None, None)],
+        "satisfaction_int string, submitted_at string, drives_weekly string")
+    assert findings(df, SURVEY_RULES) == [
+        ("drives_weekly", "unreadable", "maybe so", 1), ("drives_weekly", "unreadable", "x", 1),
+        ("satisfaction_int", "violation", "4.5", 1), ("satisfaction_int", "violation", "9", 1), ("satisfaction_int", "violation", "abc", 1),
+        ("submitted_at", "unreadable", "2024-13-01", 1), ("submitted_at", "unreadable", "n/a", 1)]
+
+
+def test_full_width_blanks_are_empty(spark):
+    got = quality.completeness(spark.createDataFrame([("　",), ("x",)], "g string")).first()
+    assert got.empty_rate == 0.5

@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywell.operators import relate
 
@@ -75,3 +76,16 @@ def test_co_occurrence_against_brute_force(spark, min_n, wide):
     assert set(got) == set(want)
     for pair in want:
         assert all(math.isclose(x, y) for x, y in zip(got[pair], want[pair]))
+
+
+def test_co_occurrence_with_missing_and_repeated_ids(spark):
+    rows = [(None, ["a", "b"]), (None, ["c", "d"]), (7, ["a", "e"]), (7, ["c", "f"]), (8, ["a", "b"])]
+    df = spark.createDataFrame(rows, "id bigint, arr array<string>")
+    got = {(r.a, r.b): r.n for r in relate.co_occurrence(df, "arr").collect()}
+    assert got == {("a", "b"): 2, ("c", "d"): 1, ("a", "e"): 1, ("c", "f"): 1}
+
+
+def test_respondents_of_one_table(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, None), (3, "y"), (4, "z")], "id int, t string")
+    ids = lambda op: sorted(r.id for r in relate.respondents_where(df, F.col("t") == "x", F.col("t") == "y", op).collect())
+    assert ids("and") == [1] and ids("minus") == [2] and ids("or") == [1, 2, 3]

@@ -81,9 +81,19 @@ def test_purchase_rate(survey):
 
 
 def test_price_acceptance_is_by_rank_not_by_letter(survey):
-    rows = {(r.intent, r.band): r.cum_share for r in tabulate.price_acceptance(survey).collect()}
-    assert not [b for _, b in rows if b == "odd"]
-    assert rows["no", "350plus"] < rows["no", "200_249"] < rows["no", "under199"] == 1.0
+    found = tabulate.price_acceptance(survey).collect()
+    rows = {(r.intent, r.band): r.cum_share for r in found}
+    assert not [b for _, b in rows if b == "odd"] and len({b for _, b in rows}) == 5
+    assert all(math.isclose(rows[r.intent, "under199"] + r.unlisted_share, 1) for r in found)
+    assert rows["no", "350plus"] < rows["no", "200_249"] < rows["no", "under199"]
+
+
+def test_price_acceptance_has_every_listed_band(spark):
+    df = spark.createDataFrame([("no", "b"), ("no", "c"), ("no", "odd"), ("no", None), ("yes", None)], "purchase_intent string, price_band string")
+    got = {(r.intent, r.band): (r.n, r.cum_share, r.unlisted_share) for r in tabulate.price_acceptance(df, ["a", "b", "c"]).collect()}
+    third = 1 / 3
+    assert got == {("no", "a"): (0, 2 * third, third), ("no", "b"): (1, 2 * third, third), ("no", "c"): (1, third, third),
+                   ("yes", "a"): (0, None, None), ("yes", "b"): (0, None, None), ("yes", "c"): (0, None, None)}
 
 
 def chi_square(pairs):
@@ -112,6 +122,12 @@ def test_pivot(survey):
     assert all(r.unsure == 0 and r.def_buy > 0 for r in rows)
 
 
+def test_pivot_counts_every_row(spark):
+    df = spark.createDataFrame([("r", "0.00%"), ("r", "zzz"), ("r", None)], "region string, code string")
+    assert tabulate.pivot_table(df, "region", "code", ["0.00%"]).first().asDict() == {
+        "region": "r", "0.00%": 1, "(other)": 1, "(missing)": 1}
+
+
 def test_segment_index(spark):
     df = spark.createDataFrame([("s", "a")] * 3 + [("s", "b")] + [("t", "b")] * 4 + [("t", None)], "seg string, lab string")
     got = [(r.segment, r.label, r.n, r.idx, r["rank"]) for r in tabulate.segment_index(df, "seg", "lab", 1).collect()]
@@ -124,3 +140,13 @@ def test_trend(spark):
     df = df.select(F.col("d").cast("timestamp").alias("submitted_at"), "satisfaction_int")
     rows = tabulate.trend(df, "day", 1).orderBy("bucket").collect()
     assert [(r.n, r.mean_score, r.delta, r.ma) for r in rows] == [(1, 0.0, None, 1.0), (2, 1.5, 1, 1.5), (3, 4.0, 1, 2.5)]
+
+
+def test_trend_has_empty_buckets(spark):
+    df = spark.createDataFrame([(d, 4) for d in ("2024-01-01", "2024-01-02", "2024-01-09")], "d string, satisfaction_int int")
+    df = df.select(F.col("d").cast("timestamp").alias("submitted_at"), "satisfaction_int")
+    rows = tabulate.trend(df, "day", 1).orderBy("bucket").collect()
+    assert [r.n for r in rows] == [1, 1, 0, 0, 0, 0, 0, 0, 1] and rows[-1].delta == 1 and rows[-1].ma == 0.5
+    assert tabulate.trend(df.limit(0), "month").count() == 0
+    with pytest.raises(ValueError):
+        tabulate.trend(df, "second")

@@ -63,3 +63,8 @@ def test_distinctive_terms(spark):
     df = spark.createDataFrame([("en", "a b"), ("fr", "a c c"), ("de", "a"), (None, "q")], "seg string, t string")
     got = wording.distinctive_terms(df, "seg", t.words(F.col("t")), 1)
     assert {r.segment: (r.term, r.n) for r in got.collect()} == {"en": ("b", 1), "fr": ("c", 2), "de": ("a", 1)}
+
+
+def test_snippet_counts_places_in_the_text_itself(spark):
+    df = spark.createDataFrame([("İİİ the thes x",), ("Say THES.",), ("none",)], "t string")
+    assert [r[0] for r in df.select(t.snippet(F.col("t"), "thes", 2)).collect()] == ["e thes x", "y THES.", None]
