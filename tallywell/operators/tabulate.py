@@ -43,16 +43,22 @@ def freq_single(df: DataFrame, column: str, base: str = "all") -> DataFrame:
     return cells.select("code", "n", share(F.col("n"), total).alias("share"))
 
 
-def freq_multi(df: DataFrame, column: str) -> DataFrame:
+def freq_multi(df: DataFrame, column: str, base: str = "all") -> DataFrame:
     """(option, n, share) of a multi-answer question; the base is the respondents who were asked.
 
+    With the base ``valid``, only those who named an option other than ``no_answer`` count.
+
     The base is counted in the same pass, by a row without an option. Both readers of the cells use
     both counts, so that they share one exchange.
     """
+    if base == "valid":
+        df = df.withColumn(column, F.filter(column, lambda x: x != NO_ANSWER)).filter(F.size(column) > 0)
+    elif base != "all":
+        raise ValueError(f"base is 'all' or 'valid', not {base!r}")
     cells = _option_rows(df, column).groupBy("option").agg(
         F.count("option").alias("n"), F.count_if(F.col("option").isNull()).alias("_asked"))
-    base = cells.filter(F.col("n") == 0).agg(F.sum("_asked")).scalar()
-    return cells.filter(F.col("_asked") == 0).select("option", "n", share(F.col("n"), base).alias("share"))
+    asked = cells.filter(F.col("n") == 0).agg(F.sum("_asked")).scalar()
+    return cells.filter(F.col("_asked") == 0).select("option", "n", share(F.col("n"), asked).alias("share"))
 
 
 def _option_rows(df: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -84,21 +90,21 @@ def crosstab(df: DataFrame, a: str, b: str, base: str = "all") -> DataFrame:
         share(n, F.col("_column")).alias("col_share"), share(n, total).alias("total_share"))
 
 
-def crosstab_multi(df: DataFrame, column: str, segment: str) -> DataFrame:
+def crosstab_multi(df: DataFrame, column: str, segment: str, base: str = "all") -> DataFrame:
     """(segment, option, n, share) with the respondents of the segment as base."""
-    cells = _option_rows(df, column, segment).groupBy(segment, "option").agg(
+    cells = _option_rows(with_base(df, [segment], base), column, segment).groupBy(segment, "option").agg(
         F.count("option").alias("n"), F.count_if(F.col("option").isNull()).alias("_asked"))
-    base = cells.filter(F.col("n") == 0).select(F.col(segment).alias("_key"), F.col("_asked").alias("_base"))
+    asked = cells.filter(F.col("n") == 0).select(F.col(segment).alias("_key"), F.col("_asked").alias("_base"))
     return (
-        cells.filter(F.col("_asked") == 0).join(base, F.col(segment).eqNullSafe(F.col("_key")))
+        cells.filter(F.col("_asked") == 0).join(asked, F.col(segment).eqNullSafe(F.col("_key")))
         .select(segment, "option", "n", share(F.col("n"), F.col("_base")).alias("share"))
     )
 
 
-def csat(df: DataFrame, segment: str, score: str = "satisfaction_int") -> DataFrame:
+def csat(df: DataFrame, segment: str, score: str = "satisfaction_int", base: str = "all") -> DataFrame:
     """(segment, n, mean, sd, top2, bottom2) over the responses that gave a score from 1 to 5."""
     s = F.col(score)
-    return df.filter(s.isNotNull()).groupBy(segment).agg(
+    return with_base(df, [segment], base).filter(s.isNotNull()).groupBy(segment).agg(
         F.count(s).alias("n"),
         F.avg(s).alias("mean"),
         F.stddev_samp(s).alias("sd"),
@@ -128,11 +134,13 @@ def subtotals(
     return grouped.agg(*flags, F.sum("n").alias("n"))
 
 
-def purchase_rate(df: DataFrame, segment: str, intent: str = "purchase_intent") -> DataFrame:
+def purchase_rate(
+    df: DataFrame, segment: str, intent: str = "purchase_intent", base: str = "all"
+) -> DataFrame:
     """(segment, n, def_rate, soft_rate): def_buy alone, and def_buy with maybe."""
     i = F.col(intent)
     rate = lambda hit: F.avg(F.when(hit, 1.0).otherwise(0.0).cast("double"))
-    return df.filter(i.isNotNull()).groupBy(segment).agg(
+    return with_base(df, [segment], base).filter(i.isNotNull()).groupBy(segment).agg(
         F.count(i).alias("n"),
         rate(i == "def_buy").alias("def_rate"),
         rate(i.isin("def_buy", "maybe")).alias("soft_rate"),
@@ -160,12 +168,13 @@ def price_acceptance(
     return counted.select("intent", unlisted, F.inline(rows)).select("intent", "band", "n", "cum_share", "unlisted_share")
 
 
-def association(df: DataFrame, a: str, b: str) -> DataFrame:
+def association(df: DataFrame, a: str, b: str, base: str = "all") -> DataFrame:
     """(n, chi2, dof, v): chi-square and Cramér's V of two code columns, NULL pairs left out.
 
     Only observed cells are visited. The expected counts of all cells add up to n, so the cells
     nobody chose contribute n minus the expected counts of the observed ones.
     """
+    df = with_base(df, [a, b], base)
     cells = _cells(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b)
     total = cells.agg(F.sum("n")).scalar().cast("double")
     n = F.col("n").cast("double")
@@ -204,10 +213,11 @@ def pivot_table(
 
 
 def segment_index(
-    df: DataFrame, segment: str, label: str, k: int
+    df: DataFrame, segment: str, label: str, k: int, base: str = "all"
 ) -> DataFrame:
     """(segment, label, n, idx, rank): share in the segment over the overall share, times 100;
     the k labels that stand out most in each segment."""
+    df = with_base(df, [segment, label], base)
     cells = _cells(df.filter(F.col(segment).isNotNull() & F.col(label).isNotNull()),
                    F.col(segment).alias("segment"), F.col(label).alias("label"))
     total = cells.agg(F.sum("n")).scalar()

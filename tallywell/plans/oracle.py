@@ -21,6 +21,10 @@ SURVEY_COLUMNS = [
     "nonalc_freq", "health_reasons_arr", "purchase_intent", "price_band", "satisfaction_int", "free_comment", "positive_point",
     "negative_feedback", "scene", "positive_point_category", "positive_point_confidence", "negative_feedback_category",
     "negative_feedback_confidence"]
+_LONG, _TIME, _TEXT, _FLAG = ("LONG", "bigint"), ("TIMESTAMP", "timestamp"), ("STRING", "string"), ("BOOLEAN", "boolean")
+_LIST, _INT, _NUMBER = ("ARRAY", "array<string>"), ("INT", "int"), ("DOUBLE", "double")
+SURVEY_TYPES = [_LONG, _TIME, _TEXT, _TEXT, _TEXT, _TEXT, _FLAG, _TEXT, _LIST, _TEXT, _LIST, _TEXT, _TEXT, _INT, _TEXT, _LIST,
+                _LIST, _LIST, _TEXT, _NUMBER, _TEXT, _NUMBER]
 Terms = list[tuple[str, str | None, int]]
 
 A1 = """a1 AS (
@@ -180,6 +184,14 @@ ORACLE_SQL = {
         _domain("purchase_intent", "violation", "purchase_intent IN ('def_buy', 'maybe', 'unsure', 'no')"),
         _domain("satisfaction_int", "violation", "satisfaction_int BETWEEN 1 AND 5"),
     ]),
+    "r03_export_rows": f"""WITH d(column_name, data_type, read_type) AS (VALUES {", ".join(
+        f"('{c}', '{a}', '{b}')" for c, (a, b) in zip(SURVEY_COLUMNS, SURVEY_TYPES, strict=True))})
+      SELECT *, (SELECT count(*) FROM orders) AS n FROM d""",
+    "b05_csat_valid": f"""WITH {A1} SELECT gender, count(*) AS n, round(avg(satisfaction_int), 6) AS mean,
+      round(stddev_samp(satisfaction_int), 6) AS sd,
+      round(avg(CASE WHEN satisfaction_int >= 4 THEN 1.0e0 ELSE 0.0e0 END), 6) AS top2,
+      round(avg(CASE WHEN satisfaction_int <= 2 THEN 1.0e0 ELSE 0.0e0 END), 6) AS bottom2
+      FROM a1 WHERE gender IS NOT NULL AND gender <> 'no_answer' GROUP BY gender""",
     "r04_type_submitted_at": """SELECT o_orderkey AS id,
       CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS submitted_at,
       CASE WHEN o_orderkey % 10 <> 0 THEN CAST(epoch(o_orderdate) AS BIGINT) END AS submitted_epoch FROM orders""",

@@ -99,6 +99,20 @@ def r03_export_dictionary(spark, folder):
     return quality.check_domains(view, rules)
 
 
+@query
+def r03_export_rows(spark, folder):
+    """The exported rows themselves, with the type each is read back as and what it holds in the data."""
+    view = survey.conform(answers(spark, folder, *ANSWER_COLUMNS))
+    name, path = "survey_answers_rows", scratch_path(spark, "export")
+    view.createOrReplaceTempView(name)
+    dictionary.export_dictionary(spark, name, path, SURVEY_COMMENT)
+    entries = dictionary.scan_dictionary(spark, f"{path}/columns")
+    read = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in dictionary.schema_of(entries)],
+                                 "column_name string, read_type string")
+    held = quality.completeness(view).select(F.col("column").alias("column_name"), "n")
+    return entries.join(read, "column_name").join(held, "column_name").select("column_name", "data_type", "read_type", "n")
+
+
 @query
 def r04_type_submitted_at(spark, folder):
     key = F.col("o_orderkey")
@@ -323,6 +337,12 @@ def b05_csat(spark, folder):
 SUBTOTAL_DIMS = ["region", "occupation", "purchase_intent"]
 
 
+@query
+def b05_csat_valid(spark, folder):
+    df = answers(spark, folder, "gender", "satisfaction_int")
+    return rounded(tabulate.csat(df, "gender", base="valid"), "mean", "sd", "top2", "bottom2")
+
+
 @query
 def b06_subtotals_rollup(spark, folder):
     return tabulate.subtotals(answers(spark, folder, *SUBTOTAL_DIMS), SUBTOTAL_DIMS, "rollup")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywell.schema import Rule
 
@@ -18,6 +19,27 @@ CSV_OPTIONS = {
 }
 
 
+# Fixed names: the forms in which a dictionary writes types that Spark calls otherwise.
+WRITTEN_TYPES = {"bigint": "LONG"}
+READ_TYPES = {"LONG": "bigint", "INT": "int", "ARRAY": "array<string>"}
+
+
+def written_type(spark_type: str) -> str:
+    """'LONG' for bigint, 'ARRAY' for a list of any element, and else Spark's name in capitals."""
+    return "ARRAY" if spark_type.startswith("array<") else WRITTEN_TYPES.get(spark_type, spark_type.upper())
+
+
+def schema_of(dictionary: DataFrame) -> T.StructType:
+    """The schema a dictionary describes. A list whose comment says 'array<type>' has that element, else texts."""
+    element = F.regexp_extract(F.lower("comment"), "array<\\s*(\\w+)\\s*>", 1)
+    rows = dictionary.select("column_name", "data_type", "comment", element.alias("element")).collect()
+    fields = []
+    for r in rows:
+        kind = f"array<{r.element}>" if r.data_type == "ARRAY" and r.element else READ_TYPES.get(r.data_type, r.data_type.lower())
+        fields.append(T.StructField(r.column_name, T.DataType.fromDDL(kind), True, {"comment": r.comment or ""}))
+    return T.StructType(fields)
+
+
 def scan_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DICTIONARY_SCHEMA).options(multiLine="true", **CSV_OPTIONS).csv(path)
 
@@ -34,7 +56,7 @@ def export_dictionary(
     Only names, types and comments pass through the driver. A temporary view has no comment of its
     own, so one can be given.
     """
-    rows = [(c.name, c.dataType.upper(), c.description) for c in spark.catalog.listColumns(table)]
+    rows = [(c.name, written_type(c.dataType), c.description) for c in spark.catalog.listColumns(table)]
     write_dictionary(spark.createDataFrame(rows, DICTIONARY_SCHEMA).coalesce(1), f"{path}/columns")
     text = table_comment if table_comment is not None else spark.catalog.getTable(table).description
     spark.createDataFrame([(text or "",)], "value string").coalesce(1).write.text(f"{path}/table")

@@ -113,7 +113,7 @@ def test_export_of_a_commented_table(spark, tmp_path):
     dictionary.export_dictionary(spark, "commented", path)
     entries = {r.column_name: (r.data_type, r.comment) for r in dictionary.scan_dictionary(spark, f"{path}/columns").collect()}
     assert list(entries) == SURVEY_SCHEMA.fieldNames()
-    assert entries["scene"] == ("ARRAY<STRING>", SURVEY_SCHEMA["scene"].metadata["comment"])
+    assert entries["scene"] == ("ARRAY", SURVEY_SCHEMA["scene"].metadata["comment"])
     assert dictionary.scan_table_comment(spark, path).first()[0].strip() == '回答、"加工"済み'
     spark.sql("DROP TABLE commented")
 
@@ -134,3 +134,9 @@ def test_ranges_hold_for_numbers(spark):
     assert got == [(None, None), (5, 0.5), (None, None)]
     df = spark.createDataFrame([(1, 4.7), (2, 4.0)], "id bigint, satisfaction_int double")
     assert [r.satisfaction_int for r in survey.conform(df).orderBy("id").collect()] == [None, 4]
+
+
+def test_a_dictionary_gives_a_schema_with_elements(spark):
+    rows = [("id", "LONG", None), ("n", "INT", ""), ("a", "ARRAY", "list, array<int>"), ("b", "ARRAY", "list"), ("t", "TIMESTAMP", "")]
+    got = dictionary.schema_of(spark.createDataFrame(rows, dictionary.DICTIONARY_SCHEMA))
+    assert [f.dataType.simpleString() for f in got] == ["bigint", "int", "array<int>", "array<string>", "timestamp"]

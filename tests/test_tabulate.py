@@ -150,3 +150,9 @@ def test_trend_has_empty_buckets(spark):
     assert tabulate.trend(df.limit(0), "month").count() == 0
     with pytest.raises(ValueError):
         tabulate.trend(df, "second")
+
+
+def test_valid_base_of_a_multi_answer(spark):
+    df = spark.createDataFrame([(["a", "b"],), (["no_answer"],), ([],), (None,), (["a"],)], "o array<string>")
+    got = {r.option: (r.n, r.share) for r in tabulate.freq_multi(df, "o", "valid").collect()}
+    assert got == {"a": (2, 1.0), "b": (1, 0.5)}
