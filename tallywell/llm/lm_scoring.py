@@ -40,7 +40,7 @@ class Settings:
     """``smoothing`` is of the word model; ``bucket_mb`` is stored data a bucket."""
 
     smoothing: float = 0.1
-    bucket_mb: float = 8.0
+    bucket_mb: float = 6.0
 
 
 def _batch(texts: pd.Series) -> pa.RecordBatch:
