@@ -35,7 +35,7 @@ class Settings:
     length: int = 200
     width: int = 32
     hot: int = 16_000
-    shard_bytes: int = 3 << 20
+    shard_bytes: int = 2 << 20
 
 
 PAIR = np.dtype([("key", "<u8"), ("row", "<i8"), ("sure", "u1")])
