@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywell.functions.answers import rank_of
 from tallywell.schema import NO_ANSWER, PRICE_BANDS
 
 

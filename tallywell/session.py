@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 
 def build_session(app: str = "tallywell", master: str | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for a dot."""
@@ -21,3 +27,13 @@ def build_session(app: str = "tallywell", master: str | None = None, **conf: str
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python code in tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        # Only a place to send the file from: executors fetch it from the driver.
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tallywell", "zip", root, "tallywell"))
+        _shipped.add(context.applicationId)

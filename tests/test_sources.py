@@ -1,7 +1,6 @@
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywell.operators import quality
