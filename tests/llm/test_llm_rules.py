@@ -1,8 +1,6 @@
 import re
 from collections import Counter
 
-import pytest
-from pyspark.sql import functions as F
 
 from tallywell.llm import quality_rules
 

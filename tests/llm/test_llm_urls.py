@@ -1,7 +1,5 @@
 from itertools import combinations
 
-import pytest
-from pyspark.sql import functions as F
 
 from tallywell.llm import url_rules as u
 
