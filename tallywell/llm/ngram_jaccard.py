@@ -8,7 +8,8 @@ prefix shingles are asked for before a pair is verified on its texts.
 
 Groups of near copies would give all their pairs. So a first round compares each class only with the most
 typical class that shares one of its min-hashes and merges what is verified. The prefix join then
-pairs components, so a prefix shingle that lies in one component gives no pair at all.
+pairs components, so a prefix shingle that lies in one component gives no pair at all. For a frequent shingle,
+parity bits of both sets bound how far they are apart before a pair becomes a row.
 """
 
 from __future__ import annotations
@@ -40,17 +41,23 @@ from tallywell.llm.common import (
 from tallywell.llm.components import components
 
 
+SLICES = 1024
+
+
 @dataclass(frozen=True)
 class Settings:
     """Shingles of ``size`` words; linked from ``percent`` / 100; l up to ``most``; a verification costs as much as
-    ``verify`` prefix entries; the sketch has ``2 ** sketch_bits`` counts, which bounds what is broadcast."""
+    ``verify`` prefix entries (``most`` is 4 at most: a layer is two bits); the sketch has ``2 ** sketch_bits`` counts, which bounds what is broadcast. A token of at most ``few`` classes is
+    joined with itself; the classes of another are compared in blocks of about ``block``."""
 
     size: int = 5
     percent: int = 80
     most: int = 4
     verify: int = 20
     min_hashes: int = 8
-    sketch_bits: int = 16
+    few: int = 16
+    block: int = 2048
+    sketch_bits: int = 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -82,6 +89,14 @@ def set_class(grams: np.ndarray) -> int:
     return int(mix(np.array([mix(grams).sum() + U(len(grams))], U)).view(np.int64)[0]) or 1
 
 
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """A word for about every 64 shingles, each of which turns one bit; two sets differ in at least as many shingles
+    as their bits do."""
+    size = 1 << min(9, max(6, (2 * len(grams) - 1).bit_length()))
+    bits = np.bincount((mix(grams) % U(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def needed(n: int, percent: int) -> int:
     """The least overlap that a set of ``n`` can have with a linked one."""
     return -(-n * percent // 100)
@@ -93,11 +108,11 @@ def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _classes(rows: DataFrame, s: Settings) -> DataFrame:
-    """(id, row, n, class) of each row, and in rows of their own (bucket counts) the sketch."""
+    """(id, row, n, class) of each row, and in rows of their own (slice, counts) the sketch."""
     schema = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("class", T.LongType()), T.StructField("counts", T.ArrayType(T.IntegerType()))])
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        T.StructField("class", T.LongType()), T.StructField("slice", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << s.sketch_bits, np.int32)
@@ -110,26 +125,33 @@ def _classes(rows: DataFrame, s: Settings) -> DataFrame:
                 names = pa.array([set_class(g) for g in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [column(part, "id"), column(part, "row"), pa.array([len(g) for g in sets], pa.int64()),
-                     names, pa.nulls(len(sets), kinds[4])], schema.names)
+                     names, pa.nulls(len(sets), kinds[4]), pa.nulls(len(sets), kinds[5])], schema.names)
         if counts.any():
+            slices = counts.reshape(min(SLICES, len(counts)), -1)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.nulls(1, k) for k in kinds[:4]), pa.array([counts], kinds[4])], schema.names)
+                [*(pa.nulls(len(slices), k) for k in kinds[:4]), pa.array(np.arange(len(slices)), kinds[4]),
+                 pa.array([x.tobytes() for x in slices], kinds[5])], schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
 def _sketch(classes: DataFrame, s: Settings) -> np.ndarray:
-    counts = np.zeros(1 << s.sketch_bits, np.int64)
-    found = classes.where("counts IS NOT NULL").select(F.posexplode("counts").alias("i", "c")).groupBy("i").agg(
-        F.sum("c").alias("c"))
-    for row in found.collect():
-        counts[row.i] = row.c
-    return counts
+    """The sums of the tasks' counts, slice by slice."""
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.int32).astype(np.int64) for x in rows["counts"])
+        return pd.DataFrame({"slice": rows["slice"][:1], "counts": [np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).tobytes()]})
+
+    summed = classes.where("counts IS NOT NULL").select("slice", "counts").groupBy("slice").applyInPandas(add, "slice int, counts binary")
+    found = sorted((r.slice, r.counts) for r in summed.collect())
+    return np.frombuffer(b"".join(c for _, c in found), np.int32) if found else np.zeros(1 << s.sketch_bits, np.int32)
 
 
 def _prefixes(rows: DataFrame, sketch: np.ndarray, s: Settings) -> DataFrame:
-    """One row per class: (class, n, tokens of its longest prefix from rare to frequent, min-hashes, typical)."""
-    schema = "class long, n long, tokens array<long>, mins array<long>, typical double"
+    """One row per class: (class, n, tokens of its longest prefix from rare to frequent, min-hashes, typical, bits).
+
+    The two low bits of a token are its layer less 1, the smallest l whose prefix has it.
+    """
+    schema = "class long, n long, tokens array<long>, mins array<long>, typical double, bits array<long>"
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
     seeds = stream(s.min_hashes, 99)
 
@@ -138,43 +160,42 @@ def _prefixes(rows: DataFrame, sketch: np.ndarray, s: Settings) -> DataFrame:
         for batch in batches:
             for _, data, offsets in chunks(batch):
                 sets = [g for g in shingle_sets(data, offsets, s.size) if len(g)]
-                tokens, mins, typical = [], [], []
+                tokens, mins, typical, bits = [], [], [], []
                 for grams in sets:
                     often = count[(grams >> U(64 - s.sketch_bits)).astype(np.int64)]
                     length = min(len(grams), len(grams) - needed(len(grams), s.percent) + s.most)
-                    tokens.append(grams[np.lexsort((grams, often))[:length]].view(np.int64))
+                    chosen = grams[np.lexsort((grams, often))[:length]] & ~U(3)
+                    first = len(grams) - needed(len(grams), s.percent) + 1
+                    chosen[first:] |= np.arange(1, len(chosen) - first + 1).astype(U)
+                    tokens.append(chosen.view(np.int64))
+                    bits.append(parity_bits(grams))
                     mins.append(np.array([mix(grams ^ seed).min() for seed in seeds], U).view(np.int64))
                     typical.append(float(np.log(often + 1.0).mean()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_class(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()),
                      pa.array(tokens, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int64())),
-                     pa.array(typical, pa.float64())], ["class", "n", "tokens", "mins", "typical"])
+                     pa.array(typical, pa.float64()), pa.array(bits, pa.list_(pa.int64()))],
+                    ["class", "n", "tokens", "mins", "typical", "bits"])
 
     found = rows.select("text").mapInArrow(run, schema)
-    return found.groupBy("class").agg(*(F.first(c).alias(c) for c in ("n", "tokens", "mins", "typical")))
+    return found.groupBy("class").agg(*(F.first(c).alias(c) for c in ("n", "tokens", "mins", "typical", "bits")))
 
 
-def _shared_tokens(prefixes: DataFrame, parts: int, s: Settings) -> DataFrame:
-    """(token, class, n, layer, df): prefix entries whose token at least two classes have.
+def _shared_tokens(prefixes: DataFrame, parts: int) -> DataFrame:
+    """(token, class, layer, df): prefix entries whose token at least two classes have.
 
-    Entries travel packed, dealt by token; a part holds a bounded share of all entries. ``layer`` is the smallest
-    l whose prefix has the entry.
+    Entries travel packed, dealt by token; a part holds a bounded share of all entries.
     """
-    entry = np.dtype([("token", "<u8"), ("class", "<i8"), ("n", "<i4"), ("layer", "<i4")])
+    entry = np.dtype([("token", "<u8"), ("class", "<i8")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = column(batch, "tokens")
-            lengths = np.diff(tokens.offsets.to_numpy())
             flat = tokens.flatten().to_numpy().view(U)
-            n = column(batch, "n").to_numpy()
             out = np.empty(len(flat), entry)
-            out["token"], out["class"] = flat, np.repeat(column(batch, "class").to_numpy(), lengths)
-            out["n"] = np.repeat(n, lengths)
-            at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            first = np.repeat(n - (-(-n * s.percent // 100)) + 1, lengths)
-            out["layer"] = np.maximum(1, at - first + 2)
-            part = (mix(flat) % U(parts)).astype(np.int64)
+            out["token"] = flat
+            out["class"] = np.repeat(column(batch, "class").to_numpy(), np.diff(tokens.offsets.to_numpy()))
+            part = (mix(flat | U(3)) % U(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
             live = np.flatnonzero(np.diff(cuts))
@@ -186,16 +207,16 @@ def _shared_tokens(prefixes: DataFrame, parts: int, s: Settings) -> DataFrame:
     def repeated(rows: pd.DataFrame) -> pd.DataFrame:
         found = np.frombuffer(b"".join(rows["packed"]), entry)
         found = found[np.argsort(found["token"], kind="stable")]
-        cut = np.flatnonzero(np.diff(found["token"], prepend=found["token"][:1] - U(1)) != 0)
+        token = found["token"] >> U(2)
+        cut = np.flatnonzero(np.diff(token, prepend=~token[:1]) != 0)
         df = np.diff(np.append(cut, len(found)))
-        keep = np.repeat(df > 1, df)
+        found, df = found[np.repeat(df > 1, df)], np.repeat(df, df)[np.repeat(df > 1, df)]
         return pd.DataFrame({
-            "token": found["token"][keep].view(np.int64), "class": found["class"][keep],
-            "n": found["n"][keep].astype(np.int64), "layer": found["layer"][keep],
-            "df": np.repeat(df, df)[keep].astype(np.int64)})
+            "token": (found["token"] >> U(2)).astype(np.int64), "class": found["class"],
+            "layer": (found["token"] & U(3)).astype(np.int32) + 1, "df": df.astype(np.int32)})
 
-    packed = prefixes.select("class", "n", "tokens").mapInArrow(pack, "part int, packed binary")
-    return packed.groupBy("part").applyInPandas(repeated, "token long, class long, n long, layer int, df long")
+    packed = prefixes.select("class", "tokens").mapInArrow(pack, "part int, packed binary")
+    return packed.groupBy("part").applyInPandas(repeated, "token long, class long, layer int, df int")
 
 
 def _star_pairs(prefixes: DataFrame, s: Settings) -> DataFrame:
@@ -209,38 +230,88 @@ def _star_pairs(prefixes: DataFrame, s: Settings) -> DataFrame:
         "hub", "class").distinct()
 
 
-def _prefix_pairs(tokens: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
+def _prefix_pairs(tokens: DataFrame, prefixes: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
     """(hub, class): pairs of classes of different components that share enough of their adaptive prefixes."""
-    tokens = tokens.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "root", F.coalesce("root", "class"))
-    mixed = tokens.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    tokens = settled(tokens.join(mixed, "token"), "mixed-tokens")
-    costs, best = [], None
-    for level in range(1, s.most + 1):
-        scan = F.sum(F.when(F.col("layer") <= level, F.col("df")).otherwise(0))
-        costs.append((scan * (1 + s.verify / level)).alias(f"c{level}"))
+    # Of the classes that can match l times, at most scan / l are candidates.
+    costs = [(F.sum(F.when(F.col("layer") <= level, F.col("df")).otherwise(0)) * (1 + s.verify / level)).alias(f"c{level}")
+             for level in range(1, s.most + 1)]
     least = F.least(*(F.col(f"c{level}") for level in range(1, s.most + 1)))
     best = F.coalesce(*(F.when((F.col(f"c{level}") == least) & (F.col("n") * s.percent > (level - 1) * 100), level)
                         for level in range(s.most, 0, -1)), F.lit(1))
-    levels = tokens.groupBy("class", "n").agg(*costs).select("class", best.alias("level"))
-    tokens = settled(tokens.join(levels, "class"), "levelled-tokens")
-    groups = tokens.select("token", "root").distinct()
-    met = groups.alias("g").join(groups.withColumnRenamed("root", "other").alias("h"), "token").where("root < other")
-    left = tokens.select("token", "root", *(F.col(c).alias(f"a_{c}") for c in ("class", "n", "layer", "level")))
-    right = tokens.select("token", F.col("root").alias("other"),
-                          *(F.col(c).alias(f"b_{c}") for c in ("class", "n", "layer", "level")))
-    pairs = met.join(left, ["token", "root"]).join(right, ["token", "other"])
+    classes = tokens.groupBy("class").agg(*costs).join(prefixes.select("class", "n"), "class").join(
+        roots.withColumnRenamed("node", "class"), "class", "left").select(
+        "class", F.col("n").cast("int").alias("n"), F.coalesce("root", "class").alias("root"), best.alias("level"))
+    tokens = tokens.join(settled(classes, "levels"), "class")
+    mixed = tokens.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+    tokens = settled(tokens.join(mixed, "token"), "mixed-tokens")
+    own = ("class", "n", "layer", "level", "root")
     probe = F.struct("a_n", "a_class") > F.struct("b_n", "b_class")
     level = F.when(probe, F.col("a_level")).otherwise(F.col("b_level"))
-    pairs = pairs.where(
-        (100 * F.least("a_n", "b_n") >= s.percent * F.greatest("a_n", "b_n"))
-        & (F.col("a_layer") <= level) & (F.col("b_layer") <= level))
+    able = ((F.col("a_root") < F.col("b_root")) & (F.col("a_layer") <= level) & (F.col("b_layer") <= level)
+            & (100 * F.least("a_n", "b_n") >= s.percent * F.greatest("a_n", "b_n")))
+
+    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        return rows.select("token", *(F.col(c).alias(f"{name}_{c}") for c in (*own, *more)))
+
+    few = tokens.where(F.col("df") <= s.few)
+    pairs = side(few, "a").join(side(few, "b"), "token").where(able)
     pairs = pairs.select(
         F.when(probe, F.col("a_class")).otherwise(F.col("b_class")).alias("hub"),
         F.when(probe, F.col("b_class")).otherwise(F.col("a_class")).alias("class"), level.alias("level"))
+    pairs = pairs.union(_frequent_pairs(tokens.where(F.col("df") > s.few), prefixes, s))
     return pairs.groupBy("hub", "class", "level").count().where("count >= level").select("hub", "class")
 
 
+def _frequent_pairs(tokens: DataFrame, prefixes: DataFrame, s: Settings) -> DataFrame:
+    """(hub, class, level) for tokens of many classes: only pairs that the parity bits of both sets allow.
+
+    Classes of a token are dealt to blocks, and each two blocks are compared as arrays, so neither a group nor a
+    pair that cannot be linked becomes rows.
+    """
+    blocks = F.ceil(F.col("df") / s.block).cast("int")
+    own = F.pmod(F.xxhash64("class"), blocks).cast("int")
+    dealt = tokens.join(prefixes.select("class", "bits"), "class").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    parts = buckets(prefixes, 1)
+    dealt = dealt.select(F.pmod(F.xxhash64("token", low, high), F.lit(parts)).cast("int").alias("part"), "token",
+                         low.alias("low"), high.alias("high"), "own", "class", "n", "layer", "level", "root", "bits")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["token", "low", "high"], kind="stable").reset_index(drop=True)
+        key = rows[["token", "low", "high"]].to_numpy()
+        cuts = np.append(np.flatnonzero((np.diff(key, axis=0, prepend=key[:1] - 1) != 0).any(1)), len(rows))
+        name, n, layer, level, root, side = (rows[c].to_numpy(np.int64) for c in ("class", "n", "layer", "level", "root", "own"))
+        size = np.array([len(b) for b in rows["bits"]])
+        bits = np.zeros((len(rows), 8), U)
+        for i, b in enumerate(rows["bits"]):
+            bits[i, : len(b)] = np.asarray(b, np.int64).view(U)
+        out = []
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            every = np.arange(first, last)
+            left = every[side[every] == key[first, 1]]
+            right = every[side[every] == key[first, 2]]
+            for at in range(0, len(left), 64):
+                a, b = left[at: at + 64][:, None], right[None, :]
+                probe = (n[a] > n[b]) | ((n[a] == n[b]) & (name[a] > name[b]))
+                asked = np.where(probe, level[a], level[b])
+                able = (root[a] != root[b]) & (layer[a] <= asked) & (layer[b] <= asked) & (
+                    100 * np.minimum(n[a], n[b]) >= s.percent * np.maximum(n[a], n[b]))
+                if key[first, 1] == key[first, 2]:
+                    able &= a < b
+                x, y = np.nonzero(able)
+                i, j = left[at: at + 64][x], right[y]
+                apart = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+                near = (size[i] != size[j]) | (apart * (100 + s.percent) <= (n[i] + n[j]) * (100 - s.percent))
+                i, j = i[near], j[near]
+                up = probe[x[near], y[near]]
+                out.append(np.stack([np.where(up, name[i], name[j]), np.where(up, name[j], name[i]), np.where(up, level[i], level[j])], 1))
+        found = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        return pd.DataFrame({"hub": found[:, 0], "class": found[:, 1], "level": found[:, 2].astype(np.int32)})
+
+    return dealt.groupBy("part").applyInPandas(compare, "hub long, class long, level int")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, s: Settings, at_once: int = 256) -> DataFrame:
     """The pairs (hub, class) whose sets are similar enough, from their texts.
 
@@ -287,7 +358,7 @@ def groups(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id",
     marked = settled(_classes(rows, s), "classes")
     classes = marked.where("counts IS NULL").drop("counts")
     prefixes = settled(_prefixes(rows, _sketch(marked, s), s), "prefixes")
-    tokens = settled(_shared_tokens(prefixes, buckets(prefixes, 4), s), "tokens")
+    tokens = settled(_shared_tokens(prefixes, buckets(prefixes, 4)), "tokens")
     stars = settled(_star_pairs(prefixes, s), "stars")
     asked = tokens.select("class").union(stars.select("class")).union(stars.select("hub")).distinct()
     first = classes.where("class <> 0").groupBy("class").agg(F.min("row").alias("row"))
@@ -296,7 +367,7 @@ def groups(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id",
         "texts")
     links = _verified(stars, texts, s)
     roots = settled(components(links, "hub", "class"), "roots")
-    more = _verified(_prefix_pairs(tokens, roots, s), texts, s)
+    more = _verified(_prefix_pairs(tokens, prefixes, roots, s), texts, s)
     roots = components(links.union(more), "hub", "class").withColumnRenamed("node", "class")
     return classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
