@@ -349,10 +349,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, s: Settings, at_once: int = 25
     return settled(rows.groupBy("part").applyInPandas(compare, "hub long, class long"), "verified")
 
 
-def _by_class(texts: DataFrame) -> DataFrame:
+def _by_class(texts: DataFrame, parts: int) -> DataFrame:
     """One text of each class, as a table in buckets of the class, so that later joins do not move texts."""
     spark = texts.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets(texts, 32))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts)
     path = scratch_path(spark, "texts")
     name = "texts_" + path.rsplit("-", 1)[1]
     texts.repartition(parts, "class").dropDuplicates(["class"]).write.bucketBy(parts, "class").option("path", path).saveAsTable(name)
@@ -373,7 +373,7 @@ def groups(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id",
     stars = settled(_star_pairs(prefixes, s), "stars")
     asked = tokens.select("class").union(stars.select("class")).union(stars.select("hub")).distinct()
     first = classes.where("class <> 0").groupBy("class").agg(F.min("row").alias("row"))
-    texts = _by_class(rows.select("row", "text").join(first.join(asked, "class"), "row").select("class", "text"))
+    texts = _by_class(rows.select("row", "text").join(first.join(asked, "class"), "row").select("class", "text"), buckets(docs, 32))
     links = _verified(stars, texts, s)
     roots = settled(components(links, "hub", "class"), "roots")
     more = _verified(_prefix_pairs(tokens, prefixes, roots, s), texts, s)
