@@ -6,8 +6,10 @@ the entity's information content that knowing the term gives away:
 
     PMI(term; entity) / IC(entity) = log(N * n(term, entity) / (n(term) * n(entity))) / log(N / n(entity))
 
-with document counts n and N. A term of high disclosure, seen with the entity in several documents and contexts, is
-removed next to it, one of middling disclosure is generalised. A term of high disclosure occurs hardly anywhere
+with document counts n and N. The same is estimated for what an entity shares with others: the domain and name of an
+address, a network, a card issuer, a dialling code. So rare entities pool their evidence. A share is smoothed by the
+number of contexts it was seen in, each of which leaves the part ``doubt`` of the doubt, and the highest one counts.
+A term of high disclosure is removed next to the entity, one of middling disclosure is generalised. A term of high disclosure occurs hardly anywhere
 but next to its entity, so documents without entities stay as they are.
 """
 
@@ -46,12 +48,11 @@ TERM = np.dtype([("term", "<u8"), ("docs", "<i4"), ("near", "u1")])
 
 @dataclass(frozen=True)
 class Settings:
-    """``window`` words on either side are terms; ``least_docs`` and ``least_contexts`` are the evidence asked for;
+    """``window`` words on either side are terms; ``doubt`` smooths disclosure, which counts 1 - doubt^contexts;
     terms of fewer than ``least_bytes`` are none."""
 
     window: int = 6
-    least_docs: int = 3
-    least_contexts: int = 3
+    doubt: float = 0.4
     least_bytes: int = 3
     remove: float = 0.95
     generalise: float = 0.85
@@ -102,10 +103,24 @@ def written(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 
 
-def _entity(kind: str, text: str) -> int:
-    """The name of an entity however it is written."""
-    value = text.lower() if kind == "email" else text if kind == "ip" else re.sub("[^0-9]", "", text)
-    return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def _entities(kind: str, text: str) -> list[int]:
+    """The names of an entity, however it is written, and of the parts that it may share with others.
+
+    The kind itself is no part: its label stays in the text and tells it anyway.
+    """
+    if kind == "email":
+        value = text.lower()
+        local, domain = value.split("@", 1)
+        shared = [f"domain:{domain}", *(f"local:{name}" for name in [re.sub("[^a-z]", "", local)] if name)]
+    elif kind == "ip":
+        value = text
+        numbers = [str(int(n)) for n in text.split(".")]
+        shared = ["net:" + ".".join(numbers[:n]) for n in (2, 3)]
+    else:
+        value = re.sub("[^0-9]", "", text)
+        shared = [f"issuer:{value[:6]}"] if kind == "card" else [f"code:{value[:-n]}" for n in (4, 7)]
+    return [int.from_bytes(hashlib.blake2b(v.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+            for v in (f"{kind}:{value}", *shared)]
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -147,9 +162,10 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
             own = [i for i in (*range(max(0, low - s.window), low), *range(high, min(len(term), high + s.window))) if free[i]]
             if not own:
                 continue
-            entity, context = _entity(kind, text[a:b]), int(mix(term[own]).min().view(np.int64))
+            context = int(mix(term[own]).min().view(np.int64))
             out += [{"term": int(term[i].view(np.int64)), "entity": entity, "context": context,
-                     "start": int(places[start[i] - base]), "end": int(places[end[i] - base])} for i in own]
+                     "start": int(places[start[i] - base]), "end": int(places[end[i] - base])}
+                    for entity in _entities(kind, text[a:b]) for i in own]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +179,7 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
                     spans = base_spans(text)
                     row = {f"n_{k}": sum(x[2] == k for x in spans) for k in KINDS} | {"base": written(spans), "entities": [], "near": []}
                     if spans:
-                        row["entities"] = list({_entity(k, text[a:b]) for a, b, k in spans})
+                        row["entities"] = list({e for a, b, k in spans for e in _entities(k, text[a:b])})
                         own = slice(firsts[i], firsts[i + 1])
                         row["near"] = near(text, spans, data[offsets[i]: offsets[i + 1]], int(offsets[i]), term[own], start[own], end[own])
                         close += [n["term"] for n in row["near"]]
@@ -228,12 +244,13 @@ def find(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: st
     seen = found.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(
         x["term"].alias("term"), x["entity"].alias("entity"), x["context"].alias("context"))))).alias("x")).select("x.*")
     pairs = seen.groupBy("term", "entity", "context").agg(F.count("*").alias("n")).groupBy("term", "entity").agg(
-        F.sum("n").alias("n_both"), F.count("*").alias("contexts")).where(
-        (F.col("n_both") >= s.least_docs) & (F.col("contexts") >= s.least_contexts))
+        F.sum("n").alias("n_both"), F.count("*").alias("contexts"))
+    # No share is above 1, so what is under the threshold by its contexts alone need not be joined.
+    pairs = pairs.withColumn("sure", 1 - F.pow(F.lit(s.doubt), "contexts")).where(F.col("sure") >= s.generalise)
     entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     content = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
     told = F.log2(F.lit(float(max(total, 1))) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    share = F.when(content > 0, told / content).otherwise(0.0)
+    share = F.when(content > 0, F.least(told / content, F.lit(1.0)) * F.col("sure")).otherwise(0.0)
     telling = pairs.join(_term_counts(packed), "term").join(entities, "entity").select("term", "entity", share.alias("share")).where(
         F.col("share") >= s.generalise)
     kind = F.when(F.col("share") >= s.remove, ADDED[0]).otherwise(ADDED[1])

@@ -79,6 +79,14 @@ def test_copies_are_one_context(spark):
     assert all(r.spans == ("email:18:34" if r.doc_id < 50 else "") for r in got)
 
 
+def test_rare_entities_share_evidence(spark):
+    fill = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    rows = [(i, " ".join([*fill[i * 3: i * 3 + 5], *(["Zorblatt", f"name{chr(97 + i)}@corp.example"] if i < 8 else []), *fill[i * 2: i * 2 + 4]]))
+            for i in range(150)]
+    got = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(("[TERM] [EMAIL]" in got[i]) == (i < 8) and (i < 8 or got[i] == t) for i, t in rows)
+
+
 def test_columns_stay(docs, rows):
     got = pii.sanitise(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
