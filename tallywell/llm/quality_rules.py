@@ -20,10 +20,7 @@ BLANKS = "\\x20\\x09-\\x0D"
 
 @dataclass(frozen=True)
 class Settings:
-    """``target_rows`` bounds the trusted documents that are counted, so their ids may be broadcast."""
-
     buckets: int = 16_384
-    target_rows: int = 16_000
     threshold: float = -0.08
     smoothing: float = 0.5
     window: int = 5
@@ -45,17 +42,16 @@ def _grams(words: str, buckets: int) -> Column:
 
 
 def fit(docs: DataFrame, trusted: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: str = "text") -> list[float]:
-    """The log ratio of each bucket, from the documents whose ids are in ``trusted`` and from all documents.
+    """The log ratio of each bucket, from all documents whose ids are in ``trusted`` and from all documents.
 
-    Only about ``target_rows`` ids, chosen by hash, count as the target. Without any, all ratios are near 0.
+    Without any trusted ones, all ratios are 0.
     """
-    ids = trusted.select(F.col(id).alias(id)).where(F.col(id).isNotNull()).distinct()
-    share = min(1.0, s.target_rows / max(1, ids.count()))
-    ids = ids.where(F.pmod(F.xxhash64(F.lit("target"), id), F.lit(1 << 30)) < int(share * (1 << 30))).withColumn("_target", F.lit(1))
-    # The ids are bounded by target_rows.
-    marked = docs.select(id, words_of(F.col(text)).alias("w")).join(F.broadcast(ids), id, "left")
+    ids = trusted.select(F.col(id).alias(id)).where(F.col(id).isNotNull()).distinct().withColumn("_target", F.lit(1))
+    # Texts meet their ids before they are split: an array of words is larger than its text.
+    marked = docs.select(F.col(id).alias(id), F.col(text).alias("_text")).join(ids, id, "left")
     counts = (
-        marked.select(F.coalesce("_target", F.lit(0)).alias("t"), F.explode(_grams("w", s.buckets)).alias("b"))
+        marked.select(F.coalesce("_target", F.lit(0)).alias("t"), words_of(F.col("_text")).alias("w"))
+        .select("t", F.explode(_grams("w", s.buckets)).alias("b"))
         .groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect())
     raw, target = [0] * s.buckets, [0] * s.buckets
     for row in counts:

@@ -1,7 +1,10 @@
+import math
 import re
 from collections import Counter
 
 
+from pyspark.sql import functions as F
+
 from tallywell.llm import quality_rules
 
 
@@ -39,6 +42,19 @@ def test_ratio_tells_a_target_apart(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_every_trusted_document_counts(spark):
+    s = quality_rules.Settings(buckets=64)
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word number"), "id", F.lit(" end")).alias("text"))
+    raw = [0] * s.buckets
+    for r in docs.select(quality_rules.words_of(F.col("text")).alias("w")).select(
+            F.explode(quality_rules._grams("w", s.buckets)).alias("b")).groupBy("b").count().collect():
+        raw[r.b] = r["count"]
+    weight = s.smoothing * s.buckets
+    size = sum(raw) + weight
+    want = [math.log((r + weight * (r + s.smoothing) / size) / (r + s.smoothing)) for r in raw]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(quality_rules.fit(docs, docs, s), want, strict=True))
+
+
 def test_empty_inputs(docs, nothing, rows):
     s = quality_rules.Settings()
     assert quality_rules.judge(nothing, quality_rules.fit(nothing, nothing)).count() == 0
