@@ -1,7 +1,7 @@
 """Information-theoretic sanitisation of personal data.
 
-Patterns find the protected entities: mail addresses, network addresses, card and phone numbers. The words next to
-an entity are terms that may reveal it. Over the whole corpus a term's disclosure of an entity is the share of
+Patterns find the protected entities: mail addresses, network addresses, card and phone numbers. All words of a document
+with an entity are terms that may reveal it. Over the whole corpus a term's disclosure of an entity is the share of
 the entity's information content that knowing the term gives away:
 
     PMI(term; entity) / IC(entity) = log(N * n(term, entity) / (n(term) * n(entity))) / log(N / n(entity))
@@ -9,13 +9,14 @@ the entity's information content that knowing the term gives away:
 with document counts n and N. The same is estimated for what an entity shares with others: the domain and name of an
 address, a network, a card issuer, a dialling code. So rare entities pool their evidence. A share is smoothed by the
 number of contexts it was seen in, each of which leaves the part ``doubt`` of the doubt, and the highest one counts.
-A term of high disclosure is removed next to the entity, one of middling disclosure is generalised. A term of high disclosure occurs hardly anywhere
-but next to its entity, so documents without entities stay as they are.
+The words next to an entity are its context. A term of high disclosure is removed and one of middling disclosure is
+generalised, wherever it stands, also far from its entity and in documents without one.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,12 +44,15 @@ LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwx
 
 MARK = np.zeros(256, bool)
 MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
-TERM = np.dtype([("term", "<u8"), ("docs", "<i4"), ("near", "u1")])
+TERM = np.dtype([("term", "<u8"), ("docs", "<i4"), ("held", "<i4")])
+PAIR = np.dtype([("term", "<u8"), ("set", "<i8"), ("n", "<i4")])
+#: A filter of fixed size; what it lets through wrongly is dropped by an exact join.
+FILTER_BITS, SALTS = 22, 32
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``window`` words on either side are terms; ``doubt`` smooths disclosure, which counts 1 - doubt^contexts;
+    """``window`` words on either side are the context; ``doubt`` smooths disclosure, which counts 1 - doubt^contexts;
     terms of fewer than ``least_bytes`` are none."""
 
     window: int = 6
@@ -134,55 +138,68 @@ def _terms(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarra
     return term, start, end, firsts
 
 
-NEAR = T.ArrayType(T.StructType([T.StructField("term", T.LongType()), T.StructField("entity", T.LongType()),
-                                 T.StructField("context", T.LongType()), T.StructField("start", T.IntegerType()),
-                                 T.StructField("end", T.IntegerType())]))
+SHARED = T.ArrayType(T.StructType([T.StructField("entity", T.LongType()), T.StructField("context", T.LongType())]))
 FOUND = T.StructType([
     *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS), T.StructField("base", T.StringType()),
-    T.StructField("entities", T.ArrayType(T.LongType())), T.StructField("near", NEAR),
-    T.StructField("part", T.IntegerType()), T.StructField("packed", T.BinaryType())])
+    T.StructField("shared", SHARED), T.StructField("set", T.LongType()),
+    T.StructField("part", T.IntegerType()), T.StructField("packed", T.BinaryType()), T.StructField("pairs", T.BinaryType())])
+OCCURS = "row long, term long, start int, end int"
+
+
+def _places(data: np.ndarray, spans: list, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code point of each byte, byte of each code point, which terms are outside of all spans) of one text."""
+    lead = (data & 0xC0) != 0x80
+    places, where = np.append(0, np.cumsum(lead)), np.flatnonzero(np.append(lead, True))
+    taken = np.zeros(len(data) + 1, np.int64)
+    for a, b, _ in spans:
+        taken[where[a] + 1: where[b] + 1] = 1
+    taken = np.cumsum(taken)
+    return places, where, taken[end] == taken[start]
 
 
 def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
-    """A row for each row: its base spans and the terms near them; and rows of packed terms with document counts."""
+    """A row for each row: its base spans and its entities with their contexts; and rows of packed terms.
+
+    These have the number of documents and of documents with an entity of each term, and how often a term is in
+    documents with the same set of entities and contexts.
+    """
     kept = [T.StructField(f.name, f.dataType) for f in rows.schema if f.name != "text"]
     schema = T.StructType([*kept, *FOUND.fields])
     kinds = to_arrow_schema(schema)
 
-    def near(text: str, spans: list, data: np.ndarray, base: int, term: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[dict]:
-        places = np.append(0, np.cumsum((data & 0xC0) != 0x80))
-        where = np.flatnonzero(np.append((data & 0xC0) != 0x80, True))
-        taken = np.zeros(len(places), bool)
-        for a, b, _ in spans:
-            taken[where[a]: where[b]] = True
-        free = np.array([t != 0 and not taken[x - base: y - base].any() for t, x, y in zip(term, start, end, strict=True)], bool)
-        out = []
+    def entities(text: str, spans: list, where: np.ndarray, free: np.ndarray, term: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
+        """The entities with the least of their contexts, so a document counts once with an entity."""
+        out = {}
         for a, b, kind in spans:
-            low, high = np.searchsorted(end, where[a] + base, "right"), np.searchsorted(start, where[b] + base)
+            low, high = np.searchsorted(end, where[a], "right"), np.searchsorted(start, where[b])
             own = [i for i in (*range(max(0, low - s.window), low), *range(high, min(len(term), high + s.window))) if free[i]]
-            if not own:
-                continue
-            context = int(mix(term[own]).min().view(np.int64))
-            out += [{"term": int(term[i].view(np.int64)), "entity": entity, "context": context,
-                     "start": int(places[start[i] - base]), "end": int(places[end[i] - base])}
-                    for entity in _entities(kind, text[a:b]) for i in own]
+            context = int(mix(term[own]).min().view(np.int64)) if own else 0
+            for entity in _entities(kind, text[a:b]):
+                out[entity] = min(out.get(entity, context), context)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = []
+            every, links = [], [np.zeros(0, PAIR)]
             for part, data, offsets in chunks(batch):
                 term, start, end, firsts = _terms(data, offsets, s.least_bytes)
                 owner = np.repeat(np.arange(part.num_rows), np.diff(firsts))
-                out, close = [], []
+                out, held = [], [np.zeros(0, U)]
                 for i, text in enumerate(column(part, "text").to_pylist()):
                     spans = base_spans(text)
-                    row = {f"n_{k}": sum(x[2] == k for x in spans) for k in KINDS} | {"base": written(spans), "entities": [], "near": []}
+                    row = {f"n_{k}": sum(x[2] == k for x in spans) for k in KINDS} | {"base": written(spans), "shared": []}
                     if spans:
-                        row["entities"] = list({e for a, b, k in spans for e in _entities(k, text[a:b])})
-                        own = slice(firsts[i], firsts[i + 1])
-                        row["near"] = near(text, spans, data[offsets[i]: offsets[i + 1]], int(offsets[i]), term[own], start[own], end[own])
-                        close += [n["term"] for n in row["near"]]
+                        own, at = slice(firsts[i], firsts[i + 1]), int(offsets[i])
+                        t, low, high = term[own], start[own] - at, end[own] - at
+                        _, where, free = _places(data[at: offsets[i + 1]], spans, low, high)
+                        free &= t != 0
+                        pairs = sorted(entities(text, spans, where, free, t, low, high).items())
+                        row["shared"] = [{"entity": e, "context": c} for e, c in pairs]
+                        row["set"] = int.from_bytes(hashlib.blake2b(np.array(pairs, np.int64).tobytes(), digest_size=8).digest(), "little", signed=True)
+                        held.append(np.unique(t[free]))
+                        link = np.ones(len(held[-1]), PAIR)
+                        link["term"], link["set"] = held[-1], row["set"]
+                        links.append(link)
                     out.append(row)
                 yield pa.RecordBatch.from_arrays(
                     [*(column(part, f.name) for f in kept),
@@ -192,9 +209,10 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
                 once = np.ones(len(at), bool)
                 once[1:] = (term[at[1:]] != term[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])
                 value, docs = np.unique(term[at[once]], return_counts=True)
-                counted = np.empty(len(value), TERM)
+                counted = np.zeros(len(value), TERM)
                 counted["term"], counted["docs"] = value, docs
-                counted["near"] = np.isin(value, np.array(close, np.int64).view(U))
+                with_one, n = np.unique(np.concatenate(held), return_counts=True)
+                counted["held"][np.searchsorted(value, with_one)] = n
                 every.append(counted[value != 0])
             if not every:
                 continue
@@ -202,30 +220,91 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
             value, inverse = np.unique(joined["term"], return_inverse=True)
             total = np.empty(len(value), TERM)
             total["term"], total["docs"] = value, np.bincount(inverse, joined["docs"], len(value))
-            total["near"] = np.bincount(inverse, joined["near"], len(value)) > 0
-            part = (mix(value) % U(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            total, cuts = total[order], np.searchsorted(part[order], np.arange(parts + 1))
+            total["held"] = np.bincount(inverse, joined["held"], len(value))
+            total, cuts = _dealt(total, parts)
+            pairs, pair_cuts = _dealt(_added_up(np.concatenate(links)), parts)
             live = np.flatnonzero(np.diff(cuts))
+            packed = {"part": pa.array(live, pa.int32()),
+                      "packed": pa.array([total[cuts[p]: cuts[p + 1]].tobytes() for p in live], pa.binary()),
+                      "pairs": pa.array([pairs[pair_cuts[p]: pair_cuts[p + 1]].tobytes() for p in live], pa.binary())}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(live, pa.int32()) if f.name == "part" else
-                 pa.array([total[cuts[p]: cuts[p + 1]].tobytes() for p in live], pa.binary()) if f.name == "packed" else
-                 pa.nulls(len(live), kinds.field(f.name).type) for f in schema], schema.names)
+                [packed[f.name] if f.name in packed else pa.nulls(len(live), kinds.field(f.name).type) for f in schema], schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
-def _term_counts(packed: DataFrame) -> DataFrame:
-    """(term, n_term) of the terms that are near an entity anywhere."""
+def _dealt(found: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """``found`` by the parts of its terms, and where each part begins."""
+    part = (mix(found["term"]) % U(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return found[order], np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _added_up(pairs: np.ndarray) -> np.ndarray:
+    """Each term and set once."""
+    pairs = pairs[np.lexsort((pairs["set"], pairs["term"]))]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs["term"][1:] != pairs["term"][:-1]) | (pairs["set"][1:] != pairs["set"][:-1])
+    first = np.flatnonzero(new)
+    out = pairs[first]
+    if len(first):
+        out["n"] = np.add.reduceat(pairs["n"], first)
+    return out
+
+
+def _candidates(packed: DataFrame, total: int, s: Settings) -> DataFrame:
+    """(term, n_term, set, n) of the terms whose counts allow enough disclosure of any entity.
+
+    The bound loses none: it is the condition on the disclosure with the greatest n_both and the least n_entity.
+    """
+    least = max(1, math.ceil(math.log(1 - s.generalise) / math.log(s.doubt) - 1e-9))
+    bound = min(1.0, least / max(total, 1)) ** (1 - s.generalise) * (1 - 1e-9)
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         found = np.frombuffer(b"".join(rows["packed"]), TERM)
         value, inverse = np.unique(found["term"], return_inverse=True)
-        near = np.bincount(inverse, found["near"], len(value)) > 0
+        held = np.bincount(inverse, found["held"], len(value))
         docs = np.bincount(inverse, found["docs"], len(value)).astype(np.int64)
-        return pd.DataFrame({"term": value[near].view(np.int64), "n_term": docs[near]})
+        keep = (held >= least) & (held >= bound * docs)
+        value, docs = value[keep], docs[keep]
+        pairs = np.frombuffer(b"".join(rows["pairs"]), PAIR)
+        pairs = _added_up(pairs[np.isin(pairs["term"], value)])
+        return pd.DataFrame({"term": pairs["term"].astype(np.int64),
+                             "n_term": docs[np.searchsorted(value, pairs["term"])], "set": pairs["set"], "n": pairs["n"].astype(np.int64)})
+
+    return packed.groupBy("part").applyInPandas(add, "term long, n_term long, set long, n long")
+
+
+def _filter(telling: DataFrame) -> np.ndarray:
+    """A bit for the hash of each term; at most 2^FILTER_BITS / 64 numbers are collected."""
+    bit = F.shiftrightunsigned("term", 20).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for r in telling.select(F.shiftright(bit, 6).cast("int").alias("at"), bit.bitwiseAND(F.lit(63)).alias("b")).groupBy("at").agg(
+            F.bit_or(F.expr("shiftleft(1L, int(b))")).alias("bits")).collect():
+        out[r["at"] * 8: r["at"] * 8 + 8] = np.frombuffer(int(r["bits"]).to_bytes(8, "little", signed=True), np.uint8)
+    return out
+
+
+def _occurrences(rows: DataFrame, bits: np.ndarray, s: Settings) -> DataFrame:
+    """(row, term, start, end) of terms outside of entities that pass the filter, in all documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in chunks(batch):
+                term, start, end, firsts = _terms(data, offsets, s.least_bytes)
+                bit = ((term >> U(20)) & U((1 << FILTER_BITS) - 1)).astype(np.int64)
+                hit = np.flatnonzero((term != 0) & ((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0))
+                cuts, texts, named = np.searchsorted(hit, firsts), column(part, "text"), column(part, "row")
+                for i in np.flatnonzero(np.diff(cuts)).tolist():
+                    own = hit[cuts[i]: cuts[i + 1]]
+                    low, high = start[own] - offsets[i], end[own] - offsets[i]
+                    places, _, free = _places(data[offsets[i]: offsets[i + 1]], base_spans(texts[i].as_py()), low, high)
+                    own, low, high = own[free], low[free], high[free]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), named[i].as_py(), np.int64)), pa.array(term[own].view(np.int64)),
+                         pa.array(places[low].astype(np.int32)), pa.array(places[high].astype(np.int32))], ["row", "term", "start", "end"])
 
-    return packed.groupBy("part").applyInPandas(add, "term long, n_term long")
+    return rows.select("row", "text").mapInArrow(run, OCCURS)
 
 
 def find(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,26 +316,27 @@ def find(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: st
     """
     rows = docs.select(F.col(id).alias(id), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", F.xxhash64(id, "text"))
     every = settled(_found(rows, buckets(docs, 8), s), "found", "zstd")
-    found, packed = every.where("part IS NULL").drop("part", "packed"), every.where("part IS NOT NULL").select("part", "packed")
+    found = every.where("part IS NULL").drop("part", "packed", "pairs")
+    packed = every.where("part IS NOT NULL").select("part", "packed", "pairs")
     total = found.count()
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("x")).select("row", "x.*")
-    # A document's terms count once with an entity and context.
-    seen = found.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(
-        x["term"].alias("term"), x["entity"].alias("entity"), x["context"].alias("context"))))).alias("x")).select("x.*")
-    pairs = seen.groupBy("term", "entity", "context").agg(F.count("*").alias("n")).groupBy("term", "entity").agg(
-        F.sum("n").alias("n_both"), F.count("*").alias("contexts"))
+    sets = found.where("set IS NOT NULL").select("set", "shared").dropDuplicates(["set"])
+    seen = _candidates(packed, total, s).join(sets, "set").select("term", "n_term", "n", F.explode("shared").alias("x")).select("term", "n_term", "n", "x.*")
+    pairs = seen.groupBy("term", "entity", "context").agg(F.sum("n").alias("n"), F.max("n_term").alias("n_term")).groupBy("term", "entity").agg(
+        F.sum("n").alias("n_both"), F.count("*").alias("contexts"), F.max("n_term").alias("n_term"))
     # No share is above 1, so what is under the threshold by its contexts alone need not be joined.
     pairs = pairs.withColumn("sure", 1 - F.pow(F.lit(s.doubt), "contexts")).where(F.col("sure") >= s.generalise)
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = found.select(F.explode("shared.entity").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     content = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
     told = F.log2(F.lit(float(max(total, 1))) * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     share = F.when(content > 0, F.least(told / content, F.lit(1.0)) * F.col("sure")).otherwise(0.0)
-    telling = pairs.join(_term_counts(packed), "term").join(entities, "entity").select("term", "entity", share.alias("share")).where(
-        F.col("share") >= s.generalise)
-    kind = F.when(F.col("share") >= s.remove, ADDED[0]).otherwise(ADDED[1])
-    added = near.join(telling, ["term", "entity"]).groupBy("row").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end", kind.alias("kind")))).alias("added"))
-    return found.drop("entities", "near").join(added, "row", "left")
+    telling = pairs.join(entities, "entity").groupBy("term").agg(F.max(share).alias("share")).where(F.col("share") >= s.generalise)
+    telling = settled(telling.select("term", F.when(F.col("share") >= s.remove, ADDED[0]).otherwise(ADDED[1]).alias("kind")), "telling")
+    # A term may stand in very many documents, so its occurrences are dealt over salts.
+    salted = telling.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    occurs = _occurrences(rows, _filter(telling), s).withColumn("salt", F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).cast("int"))
+    added = occurs.join(salted, ["term", "salt"]).groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end", "kind"))).alias("added"))
+    return found.drop("shared", "set").join(added, "row", "left")
 
 
 def _all_spans(base: str, added) -> list[tuple[int, int, str]]:

@@ -87,6 +87,14 @@ def test_rare_entities_share_evidence(spark):
     assert all(("[TERM] [EMAIL]" in got[i]) == (i < 8) and (i < 8 or got[i] == t) for i, t in rows)
 
 
+def test_a_telling_term_goes_everywhere(spark):
+    fill = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    own = {i: [fill[(i * 37 + j * 91) % len(fill)] for j in range(24)] for i in range(195)}
+    rows = [(i, " ".join([*(["Zorblatt"] if i < 13 else []), *own[i][:15], *(["bob@corp.example"] if i < 12 else []), *own[i][15:]])) for i in own]
+    got = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].startswith("[TERM] ") == (i < 13) and (i < 13 or got[i] == t) for i, t in rows) and "@" not in got[0]
+
+
 def test_columns_stay(docs, rows):
     got = pii.sanitise(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
