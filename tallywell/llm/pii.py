@@ -131,9 +131,12 @@ def _terms(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarra
     """(term, start, end, first word of each text): words without marks at their ends; 0 for those too short."""
     lower = LOWER[data]
     start, end, firsts = words(lower, offsets)
-    for _ in range(4):
-        start = start + ((start < end) & MARK[data[np.minimum(start, len(data) - 1)]] if len(data) else 0)
-        end = end - ((start < end) & MARK[data[end - 1]] if len(data) else 0)
+    if len(start):
+        # The next byte that is no mark from each place on, and the last one up to it.
+        plain, at = ~MARK[data], np.arange(len(data))
+        following = np.minimum.accumulate(np.where(plain, at, len(data))[::-1])[::-1]
+        start = np.minimum(following[start], end)
+        end = np.maximum(np.maximum.accumulate(np.where(plain, at, -1))[end - 1] + 1, start)
     term = np.where(end - start >= least, span_hash(running_hash(lower), start, end) | U(1), U(0))
     return term, start, end, firsts
 

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -95,6 +96,13 @@ def test_a_telling_term_goes_everywhere(spark):
     assert all(got[i].startswith("[TERM] ") == (i < 13) and (i < 13 or got[i] == t) for i, t in rows) and "@" not in got[0]
 
 
+def test_all_marks_are_taken_off():
+    text = b"*****Name***** name ((((((((n-a.me)))))))) ********** \"'"
+    term, start, end, _ = pii._terms(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 3)
+    assert [text[a:b] for a, b in zip(start, end)] == [b"Name", b"name", b"n-a.me", b"", b""]
+    assert term[0] == term[1] != 0 and not term[3:].any()
+
+
 def test_columns_stay(docs, rows):
     got = pii.sanitise(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
