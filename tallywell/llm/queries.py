@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.llm import (
+    bbit_minhash,
+    bitplane_clusters,
     exact_topk,
     lm_scoring,
     ngram_jaccard,
@@ -87,3 +89,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_sentencepiece")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digest(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op11_bbit_minhash")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return bbit_minhash.link(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op13_bitplane_clusters")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return bitplane_clusters.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
