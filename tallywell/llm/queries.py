@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallywell.llm import (
     bbit_minhash,
     bitplane_clusters,
+    collocations,
     exact_topk,
     lm_scoring,
     ngram_jaccard,
@@ -96,6 +97,11 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return bbit_minhash.link(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op12_collocations")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents").select("text", "lang"))
+
+
 @query("op13_bitplane_clusters")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return bitplane_clusters.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))

@@ -15,12 +15,13 @@ from tallywell.llm.common import column
 SLICE_BITS = 17
 
 
-def _place(keys: Column, bits: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(keys), 64 - bits)
+def _place(keys: Column, bits: int, hashed: bool = False) -> Column:
+    return F.shiftrightunsigned(keys if hashed else F.xxhash64(keys), 64 - bits)
 
 
-def bit_filter(keys: DataFrame, name: str, bits: int = 24) -> np.ndarray:
-    """``2 ** bits`` bits, set where a hash of a key falls; 2 MB by default, whatever the number of keys.
+def bit_filter(keys: DataFrame, name: str, bits: int = 24, hashed: bool = False) -> np.ndarray:
+    """``2 ** bits`` bits, set where a hash of a key falls, or the key itself if it is ``hashed`` already; 2 MB by
+    default, whatever the number of keys.
 
     Slices of it are made in tasks, so at most that many bytes reach the driver.
     """
@@ -31,7 +32,7 @@ def bit_filter(keys: DataFrame, name: str, bits: int = 24) -> np.ndarray:
         out[rows["place"].to_numpy() % low] = 1
         return pd.DataFrame({"slice": [int(rows["slice"].iloc[0])], "bits": [np.packbits(out, bitorder="little").tobytes()]})
 
-    places = keys.where(F.col(name).isNotNull()).select(_place(F.col(name), bits).alias("place")).distinct()
+    places = keys.where(F.col(name).isNotNull()).select(_place(F.col(name), bits, hashed).alias("place")).distinct()
     found = places.withColumn("slice", (F.col("place") / low).cast("int")).groupBy("slice").applyInPandas(gather, "slice int, bits binary")
     out = np.zeros((1 << bits) // 8, np.uint8)
     for r in found.collect():
