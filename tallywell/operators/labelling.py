@@ -8,22 +8,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.functions.lexicon import Lexicon, best_label, once, score_array
+from tallywell.functions.search import TermList, finder, label_scores, of_list
+from tallywell.functions.text import sentences
 from tallywell.schema import CATEGORIES
 
 
-def extract(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_comment") -> DataFrame:
+Terms = Lexicon | TermList
+
+
+def searched(df: DataFrame, lists: Sequence[Terms], text: str = "free_comment") -> DataFrame:
+    """Add ``_sentences`` and ``_found``, what one search for all lists finds in them."""
+    if len({x.sentence_end for x in lists}) > 1:
+        raise ValueError("lists of one search end sentences alike")
+    tables = [x if isinstance(x, TermList) else TermList(x.entries, x.whole_words, x.labels, x.sentence_end) for x in lists]
+    search = finder(df.sparkSession, tables)
+    df = once(df, _sentences=sentences(F.col(text), lists[0].sentence_end))
+    found = df.withColumn("_hits", search(F.transform("_sentences", F.lower)))
+    return once(found, _found=F.col("_hits")).drop("_hits")
+
+
+def _phrases(number: int) -> Column:
+    """The distinct sentences with a hit of a list, in text order."""
+    places = F.transform(of_list(F.col("_found"), number, whole=False), lambda x: x["no"])
+    return F.array_distinct(F.transform(places, lambda no: F.get("_sentences", no)))
+
+
+def extract(df: DataFrame, lexicon: Terms, out: str, text: str = "free_comment") -> DataFrame:
     """Add the distinct sentences that hold a term, in text order, as an array."""
-    return once(df, **{out: F.array_distinct(lexicon.phrases(F.col(text)))})
+    found = searched(df, [lexicon], text)
+    return found.select(*[F.col(c) for c in df.columns], _phrases(0).alias(out))
 
 
-def classify(df: DataFrame, lexicon: Lexicon, out: str, text: str = "free_comment") -> DataFrame:
+def classify(df: DataFrame, lexicon: Terms, out: str, text: str = "free_comment") -> DataFrame:
     """Add ``{out}_category`` and ``{out}_confidence``; both are NULL without a hit.
 
-    A narrow projection: no join and no exchange.
+    A narrow projection: no join and no exchange. A short list is matched inside the JVM, a ``TermList`` by ``searched``.
     """
     columns = [F.col(c) for c in df.columns]
-    df = df.withColumn("_hits", lexicon.hits(F.col(text)))
-    return _scored(df, lexicon.scores(F.col("_hits"))).select(
+    if isinstance(lexicon, TermList):
+        found = searched(df, [lexicon], text)
+        scored = _scored(found, label_scores(of_list(F.col("_found"), 0, whole=True), lexicon.labels))
+    else:
+        df = df.withColumn("_hits", lexicon.hits(F.col(text)))
+        scored = _scored(df, lexicon.scores(F.col("_hits")))
+    return scored.select(
         *columns,
         F.col("_best.label").alias(f"{out}_category"),
         F.col("_best.confidence").alias(f"{out}_confidence"),
@@ -36,40 +64,36 @@ def _scored(df: DataFrame, scores: Column) -> DataFrame:
 
 
 def enrich(
-    df: DataFrame, positive: Lexicon, negative: Lexicon, scene: Lexicon, text: str = "free_comment"
+    df: DataFrame, positive: Terms, negative: Terms, scene: Terms, text: str = "free_comment"
 ) -> DataFrame:
-    """All derived comment columns of the survey table in one narrow pass."""
-    df = extract(df, positive, "positive_point", text)
-    df = extract(df, negative, "negative_feedback", text)
-    df = extract(df, scene, "scene", text)
-    df = classify(df, positive, "positive_point", text)
-    return classify(df, negative, "negative_feedback", text)
+    """All derived comment columns of the survey table from one search of each comment."""
+    names = ("positive_point", "negative_feedback", "scene")
+    found = searched(df, (positive, negative, scene), text)
+    scored = found.withColumns({f"_s{i}": label_scores(of_list(F.col("_found"), i, whole=True), x.labels)
+                                for i, x in enumerate((positive, negative))})
+    best = once(scored, _b0=best_label(F.col("_s0")), _b1=best_label(F.col("_s1")))
+    return best.select(
+        *[F.col(c) for c in df.columns], *[_phrases(i).alias(name) for i, name in enumerate(names)],
+        *[F.col(f"_b{i}.{field}").alias(f"{name}_{column}") for i, name in enumerate(names[:2])
+          for field, column in (("label", "category"), ("confidence", "confidence"))])
 
 
 def feedback_rows(
-    df: DataFrame, positive: Lexicon, negative: Lexicon, id: str = "id", text: str = "free_comment"
+    df: DataFrame, positive: Terms, negative: Terms, id: str = "id", text: str = "free_comment"
 ) -> DataFrame:
     """The long form: one row per phrase and polarity, repeated phrases kept.
 
     (id, polarity 1 / -1, phrase_no in text order, phrase, label, score of that label)
     """
-    def numbered(lexicon: Lexicon, polarity: int) -> Column:
-        return F.transform(
-            lexicon.phrases_with_hits(F.col(text)),
-            lambda p, i: F.struct(
-                F.lit(polarity).alias("polarity"), (i + 1).alias("phrase_no"),
-                p["phrase"].alias("phrase"), p["hits"].alias("hits"),
-            ),
-        )
-
-    rows = df.select(
-        F.col(id).alias("id"),
-        F.inline(F.concat(numbered(positive, 1), numbered(negative, -1))))
-    hits = F.col("hits")
-    scores = F.when(F.col("polarity") == 1, positive.scores(hits)).otherwise(negative.scores(hits))
-    return _scored(rows, scores).select(
-        "id", "polarity", "phrase_no", "phrase",
-        F.col("_best.label").alias("label"), F.col("_best.score").alias("score"))
+    def numbered(number: int, polarity: int, labels: Sequence[str]) -> Column:
+        names = F.array(*[F.lit(x) for x in labels])
+        return F.transform(of_list(F.col("_found"), number, whole=False), lambda x, i: F.struct(
+            F.lit(polarity).alias("polarity"), (i + 1).alias("phrase_no"), F.get("_sentences", x["no"]).alias("phrase"),
+            F.when(x["label"] >= 0, F.get(names, x["label"])).alias("label"),
+            F.when(x["label"] >= 0, x["score"]).alias("score")))
+
+    found = searched(df.select(F.col(id).alias("id"), F.col(text).alias("_text")), (positive, negative), "_text")
+    return found.select("id", F.inline(F.concat(numbered(0, 1, positive.labels), numbered(1, -1, negative.labels))))
 
 
 def choose_label(scores: DataFrame, labels: Sequence[str] = tuple(CATEGORIES)) -> DataFrame:

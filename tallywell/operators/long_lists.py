@@ -1,5 +1,8 @@
-"""Term lists too long to be written into a query: they stay tables and are joined.
+"""Term lists too long to be written into a query.
 
+A list of up to ``search.MAX_CHARACTERS`` is read, sent to the tasks and searched for in one pass over the comments,
+without an exchange. A longer one stays a table and is joined: the words of a comment that may be on the list are
+counted in its task, kept apart by a filter of fixed size, and only those are exchanged.
 The results equal those of an inline ``Lexicon`` with the same terms. Spark picks the kind of join by the measured size
 of the list, and splits a term that fills a large part of the rows at run time. ``id`` has to be a key of the
 comments, which ``quality.check_primary_key`` tests.
@@ -12,22 +15,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywell.functions.prefilter import likely, term_filter
+from tallywell.functions.search import TermList, list_of, table_fits
 from tallywell.functions.text import SENTENCE_END, char_ngrams, sentences, words
+from tallywell.operators import labelling
 from tallywell.operators.labelling import choose_label
 from tallywell.schema import CATEGORIES
 
 LIST_SCHEMA = "term string, label string, weight bigint"
 
 
+def _sent(whole_words: bool, labels: Sequence[str], end: str, *tables: DataFrame) -> list[TermList] | None:
+    """The lists, if each is small enough to be sent to the tasks; measured first."""
+    if not all(table_fits(t) for t in tables):
+        return None
+    return [list_of(t, whole_words=whole_words, labels=tuple(labels), sentence_end=end) for t in tables]
+
+
 def _sentences(df: DataFrame, key: str, text: str, end: str) -> DataFrame:
     """(key, no, phrase): the sentences of each comment, numbered in text order."""
     return df.select(F.col(key).alias("key"), F.posexplode(sentences(F.col(text), end)).alias("no", "phrase"))
 
 
 def _word_hits(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """(key, no, label, score), one row per word that is on the list."""
-    found = rows.select("key", "no", F.explode(words(F.col("phrase"))).alias("term"))
-    return found.join(terms, "term").select("key", "no", "label", F.col("weight").cast("bigint").alias("score"))
+    """(key, no, label, score), one row per entry of a distinct word of a sentence that is on the list."""
+    counted = likely(term_filter(terms, "term"))
+    found = rows.select("key", "no", F.inline(counted(words(F.col("phrase")))))
+    return found.join(terms, "term").select("key", "no", "label", (F.col("weight").cast("bigint") * F.col("times")).alias("score"))
 
 
 def _substring_hits(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -55,6 +69,9 @@ def classify(
     labels: Sequence[str] = tuple(CATEGORIES), sentence_end: str = SENTENCE_END,
 ) -> DataFrame:
     """``df`` with ``{out}_category`` and ``{out}_confidence``, NULL without a hit."""
+    short = _sent(whole_words, labels, sentence_end, terms)
+    if short:
+        return labelling.classify(df, short[0], out, text)
     hits = _hits(_sentences(df, id, text, sentence_end), terms, whole_words)
     chosen = choose_label(hits.select(F.col("key").alias("id"), "label", "score"), labels).select(
         F.col("id").alias(id), F.col("category").alias(f"{out}_category"), F.col("confidence").alias(f"{out}_confidence"))
@@ -66,6 +83,9 @@ def extract(
     sentence_end: str = SENTENCE_END,
 ) -> DataFrame:
     """``df`` with the distinct sentences that hold a term, in text order, as an array; a missing comment has NULL."""
+    short = _sent(whole_words, tuple(CATEGORIES), sentence_end, terms)
+    if short:
+        return labelling.extract(df, short[0], out, text)
     rows = _sentences(df, id, text, sentence_end)
     places = _hits(rows, terms, whole_words).select("key", "no").distinct()
     found = rows.join(places, ["key", "no"]).groupBy("key").agg(F.array_distinct(F.transform(
@@ -80,6 +100,9 @@ def feedback_rows(
     whole_words: bool = True, labels: Sequence[str] = tuple(CATEGORIES), sentence_end: str = SENTENCE_END,
 ) -> DataFrame:
     """The long form of ``labelling.feedback_rows``: (id, polarity, phrase_no, phrase, label, score)."""
+    short = _sent(whole_words, labels, sentence_end, positive, negative)
+    if short:
+        return labelling.feedback_rows(df, short[0], short[1], id, text)
     rows = _sentences(df, id, text, sentence_end)
     number = {label: i for i, label in enumerate(labels)}
 

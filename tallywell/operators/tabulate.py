@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywell.operators.ranked import top_per_group
 from tallywell.schema import NO_ANSWER, PRICE_BANDS
 
 
@@ -221,12 +222,8 @@ def segment_index(
                    F.col(segment).alias("segment"), F.col(label).alias("label"))
     total = cells.agg(F.sum("n")).scalar()
     in_segment, overall = share(F.col("n"), F.col("_row")), share(F.col("_column"), total)
-    ranked = Window.partitionBy("segment").orderBy(F.desc("idx"), "label")
-    return (
-        _with_margins(cells, "segment", "label").withColumn("idx", F.round(in_segment / overall * 100, 6))
-        .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-        .select("segment", "label", "n", "idx", F.col("rank").cast("bigint").alias("rank"))
-    )
+    indexed = _with_margins(cells, "segment", "label").withColumn("idx", F.round(in_segment / overall * 100, 6))
+    return top_per_group(indexed, ["segment"], [F.desc("idx"), F.asc("label")], k).select("segment", "label", "n", "idx", "rank")
 
 
 UNITS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH"}

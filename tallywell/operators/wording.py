@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywell.functions.text import char_ngrams, place_of, snippet
+from tallywell.operators.ranked import top_per_group
 
 
 def phrase_topk(df: DataFrame, phrases: str, k: int) -> DataFrame:
@@ -42,8 +43,7 @@ def ngram_counts(df: DataFrame, n: int = 2, text: str = "free_comment") -> DataF
 def distinctive_terms(df: DataFrame, segment: str, terms: Column, k: int) -> DataFrame:
     """(segment, term, n, tfidf, rank): tf-idf with each segment as one document.
 
-    Up to a k of 1,000 Spark cuts the top k in every task before the last exchange; beyond it, a segment's terms
-    meet in one task. A segment whose comments are all empty does not count as one.
+    A segment of very many terms is cut in parts first, for any k (``ranked.top_per_group``). A segment whose comments are all empty does not count as one.
     """
     df = df.filter(F.col(segment).isNotNull())
     counts = (
@@ -53,13 +53,9 @@ def distinctive_terms(df: DataFrame, segment: str, terms: Column, k: int) -> Dat
     segments = counts.agg(F.countDistinct("segment")).scalar().cast("double")
     # Joined and not windowed: a term of very many segments would fill one task.
     spread = counts.groupBy(F.col("term").alias("_term")).agg(F.count(F.lit(1)).alias("_df"))
-    ranked = Window.partitionBy("segment").orderBy(F.desc("tfidf"), "term")
-    return (
-        counts.join(spread, F.col("term") == F.col("_term"))
-        .withColumn("tfidf", F.round(F.col("n") * F.ln(segments / (1 + F.col("_df"))), 6))
-        .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
-        .select("segment", "term", "n", "tfidf", F.col("rank").cast("bigint").alias("rank"))
-    )
+    scored = counts.join(spread, F.col("term") == F.col("_term")).withColumn(
+        "tfidf", F.round(F.col("n") * F.ln(segments / (1 + F.col("_df"))), 6))
+    return top_per_group(scored, ["segment"], [F.desc("tfidf"), F.asc("term")], k).select("segment", "term", "n", "tfidf", "rank")
 
 
 def comment_search(
@@ -76,9 +72,4 @@ def best_examples(
     df: DataFrame, k: int, label: str, confidence: str, id: str = "id"
 ) -> DataFrame:
     """The k surest rows of each label, numbered in ``rank``."""
-    surest = Window.partitionBy(label).orderBy(F.desc(confidence), id)
-    return (
-        df.filter(F.col(label).isNotNull())
-        .withColumn("rank", F.row_number().over(surest)).filter(F.col("rank") <= k)
-        .withColumn("rank", F.col("rank").cast("bigint"))
-    )
+    return top_per_group(df.filter(F.col(label).isNotNull()), [label], [F.desc(confidence), F.asc(id)], k)

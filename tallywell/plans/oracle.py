@@ -170,6 +170,16 @@ def _pairs(answers: str, base: str, min_n: int) -> str:
     FROM pair JOIN one oa ON a = oa.option JOIN one ob ON b = ob.option"""
 
 
+def _distinctive(k: int) -> str:
+    return f"""WITH w AS (
+        SELECT lang AS segment, unnest(string_split_regex(lower(text), '{WORD}')) AS term FROM documents),
+      c AS (SELECT segment, term, count(*) AS n FROM w WHERE length(term) > 0 GROUP BY ALL),
+      s AS (SELECT *, round(n * ln((SELECT count(DISTINCT segment)::DOUBLE FROM c)
+        / (1 + count(*) OVER (PARTITION BY term))), 6) AS tfidf FROM c)
+      SELECT segment, term, n, tfidf, row_number() OVER (PARTITION BY segment ORDER BY tfidf DESC, term) AS rank
+      FROM s QUALIFY rank <= {k}"""
+
+
 _SNIPPET = f"""substr(text, greatest(strpos(lower(text), '{SEARCH_TERM}') - 20, 1),
   strpos(lower(text), '{SEARCH_TERM}') - greatest(strpos(lower(text), '{SEARCH_TERM}') - 20, 1) + {len(SEARCH_TERM) + 20})"""
 
@@ -204,6 +214,18 @@ ORACLE_SQL = {
     "r08_band": """SELECT o_orderkey AS id, CASE WHEN o_totalprice < 100000 THEN 'under100k'
       WHEN o_totalprice < 200000 THEN '100k_199k' WHEN o_totalprice < 300000 THEN '200k_299k' ELSE '300kplus' END AS price_band
       FROM orders""",
+    "r08_band_table": """SELECT o_orderkey AS id, CASE WHEN o_totalprice >= 0 AND o_totalprice < 500000
+        AND CAST(floor(o_totalprice / 50) AS BIGINT) % 7 <> 3 THEN 'b' || CAST(floor(o_totalprice / 50) AS BIGINT) END AS price_band FROM orders""",
+    "r15_enrich": f"""WITH {LABELLED}, {SENTENCES}, {_found(POSITIVE, 'p')}, {_found(NEGATIVE, 'n')}, {_found(SCENE, 's')},
+      x AS (SELECT id, 1 AS k, phrase, no FROM p UNION ALL SELECT id, 2, phrase, no FROM n UNION ALL SELECT id, 3, phrase, no FROM s),
+      j AS (SELECT id, {", ".join(f"coalesce(string_agg(phrase, ' | ' ORDER BY no) FILTER (WHERE k = {k}), '') AS j{k}" for k in (1, 2, 3))}
+        FROM x GROUP BY id)
+      SELECT labelled.id AS id, segment, coalesce(j1, '') AS positive_point, coalesce(j2, '') AS negative_feedback, coalesce(j3, '') AS scene,
+        pos_category AS positive_point_category, pos_confidence AS positive_point_confidence,
+        neg_category AS negative_feedback_category, neg_confidence AS negative_feedback_confidence
+      FROM labelled LEFT JOIN j ON j.id = labelled.id""",
+    "b13_segment_index_all": f"WITH {A1}, " + _index("a1", "region", "price_band", 5000),
+    "b17_distinctive_terms_many": _distinctive(2000),
     "r09_extract_positive": _phrases(POSITIVE),
     "r10_extract_negative": _phrases(NEGATIVE),
     "r11_extract_scene": _phrases(SCENE),
@@ -319,13 +341,7 @@ ORACLE_SQL = {
     "b16_text_ngrams": """WITH t AS (SELECT regexp_extract_all(text, '(?s).') AS c FROM documents),
       g AS (SELECT unnest(list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1])) AS gram FROM t)
       SELECT gram, count(*) AS n FROM g GROUP BY 1""",
-    "b17_distinctive_terms": f"""WITH w AS (
-        SELECT lang AS segment, unnest(string_split_regex(lower(text), '{WORD}')) AS term FROM documents),
-      c AS (SELECT segment, term, count(*) AS n FROM w WHERE length(term) > 0 GROUP BY ALL),
-      s AS (SELECT *, round(n * ln((SELECT count(DISTINCT segment)::DOUBLE FROM c)
-        / (1 + count(*) OVER (PARTITION BY term))), 6) AS tfidf FROM c)
-      SELECT segment, term, n, tfidf, row_number() OVER (PARTITION BY segment ORDER BY tfidf DESC, term) AS rank
-      FROM s QUALIFY rank <= 10""",
+    "b17_distinctive_terms": _distinctive(10),
     "b18_trend": _trend("week", 2, True),
     "b18_trend_daily": _trend("day", 6, False),
     "b19_driver_gap": f"""WITH {A1}, m AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywell.functions import answers as typed
 from tallywell.functions.text import words
-from tallywell.operators import labelling, long_lists, quality, relate, tabulate, wording
+from tallywell.operators import labelling, long_lists, quality, ranges, relate, tabulate, wording
 from tallywell.plans.adapters import (
     ANSWER_COLUMNS, NEGATIVE, POSITIVE, PRICE_CODES, PRICE_EDGES, SCENE, answers, arriving, comments,
     multi_answers, table, timeline,
@@ -155,6 +155,16 @@ def r08_band(spark, folder):
         typed.band(F.col("o_totalprice"), PRICE_EDGES, PRICE_CODES).alias("price_band"))
 
 
+@query
+def r08_band_table(spark, folder):
+    """Bands from a table: 10,000 of them, every seventh of which is a gap."""
+    low = F.col("id") * 50
+    bands = spark.range(10_000).where("id % 7 <> 3").select(
+        low.cast("double").alias("low"), (low + 50).cast("double").alias("high"), F.concat(F.lit("b"), F.col("id").cast("string")).alias("code"))
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice")
+    return ranges.band_join(orders, F.col("o_totalprice"), bands, "price_band").select("id", "price_band")
+
+
 @query
 def r17_check_primary_key(spark, folder):
     return quality.check_primary_key(table(spark, folder, "lineitem"), "l_orderkey")
@@ -230,7 +240,7 @@ def r12_classify_positive(spark, folder):
 
 @query
 def r12_classify_long_list(spark, folder):
-    """The same labels by joining the words to a list that stays a table."""
+    """The same labels from a list that is a table."""
     terms = spark.createDataFrame(POSITIVE.entries, long_lists.LIST_SCHEMA)
     df = long_lists.classify(comments(spark, folder), terms, "positive_point")
     return rounded(df.select("id", "positive_point_category", F.col("positive_point_confidence").alias("confidence")),
@@ -269,6 +279,15 @@ def r15_confidence_negative(spark, folder):
     return rounded(df.select("id", "negative_feedback_confidence"), "negative_feedback_confidence")
 
 
+@query
+def r15_enrich(spark, folder):
+    """All derived comment columns from one search of each comment."""
+    df = labelling.enrich(comments(spark, folder), POSITIVE, NEGATIVE, SCENE).drop("free_comment")
+    lists = [c for c, kind in df.dtypes if kind.startswith("array")]
+    return rounded(df.withColumns({c: F.array_join(c, " | ") for c in lists}),
+                   "positive_point_confidence", "negative_feedback_confidence")
+
+
 @query
 def r16_feedback_rows(spark, folder):
     return labelling.feedback_rows(comments(spark, folder), POSITIVE, NEGATIVE)
@@ -425,6 +444,17 @@ def b13_segment_index(spark, folder):
     return tabulate.segment_index(df, "segment", "positive_point_category", 3)
 
 
+@query
+def b13_segment_index_all(spark, folder):
+    """Every cell ranked: a k beyond what Spark cuts by itself."""
+    return tabulate.segment_index(answers(spark, folder, "region", "price_band"), "region", "price_band", 5_000)
+
+
+@query
+def b17_distinctive_terms_many(spark, folder):
+    return wording.distinctive_terms(comments(spark, folder), "segment", words(F.col("free_comment")), 2_000)
+
+
 @query
 def b13_segment_index_coded(spark, folder):
     return tabulate.segment_index(answers(spark, folder, "region", "price_band"), "region", "price_band", 2)
