@@ -8,9 +8,9 @@ standard deviations below the threshold goes. What is left is verified on whole
 
 A group of near copies must not give all its pairs. So a class is first verified against the class of each
 of its bands that most others share bands with, and linked classes become components. Bands that still hold
-several components are then compared in blocks, as arrays inside a task. A block gives out only a
-spanning forest of its candidates, at most one edge per class, and the rounds go on without the failed edges until
-no candidate joins two components. So every candidate pair is either verified, failed, or inside a component.
+several components are then compared in blocks, as arrays inside a task. A block gives out only a few
+spanning forests of its candidates, at most one edge per class each, and the rounds go on without the failed edges
+until no candidate joins two components. So every candidate pair is either verified, failed, or inside a component.
 """
 
 from __future__ import annotations
@@ -35,19 +35,21 @@ SLICE = 64
 
 @dataclass(frozen=True)
 class Settings:
-    """Linked from ``percent`` / 100. With 32 bands of 4 rows, a pair at 0.85 shares none with probability 6e-11, and
-    at 6 deviations its estimate is too low with probability 2e-6. Sets of unlike size share fewer bits by chance,
+    """Linked from ``percent`` / 100. With 32 bands of 6 rows, a pair at 0.85 shares none with probability 3e-7, and
+    at 6 deviations its estimate is too low with probability 1e-6. Sets of unlike size share fewer bits by chance,
     so the correction assumes sets that are small against all shingles. ``profile_bits`` bounds a class's parity
-    profile; ``block`` the classes that are compared at once; ``run`` the pairs of one verification task."""
+    profile; ``block`` the classes that are compared at once; ``forests`` the edges that a class gives out at once, so
+    that failed ones do not cost a round each; ``run`` the pairs of one verification task."""
 
     size: int = 5
     percent: int = 85
-    hashes: int = 128
-    rows: int = 4
+    hashes: int = 192
+    rows: int = 6
     bits: int = 2
     slack: float = 6.0
     profile_bits: int = 1 << 14
-    block: int = 1024
+    block: int = 4096
+    forests: int = 6
     run: int = 256
 
     @property
@@ -97,9 +99,9 @@ def similarity(equal: np.ndarray, s: Settings) -> np.ndarray:
 
 
 def parity(grams: np.ndarray, s: Settings) -> np.ndarray:
-    """Packed bits, about eight for each shingle, which turns one of them; two sets differ in as many shingles at least
+    """Packed bits, about four for each shingle, which turns one of them; two sets differ in as many shingles at least
     as their bits do. Halves of a profile XORed are the profile of half the size."""
-    size = min(s.profile_bits, 1 << max(6, (8 * len(grams) - 1).bit_length()))
+    size = min(s.profile_bits, 1 << max(6, (4 * len(grams) - 1).bit_length()))
     bits = np.bincount((mix(grams) & U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
@@ -203,7 +205,7 @@ class Forest:
 
 
 def _edges(rows: pd.DataFrame, s: Settings) -> list[tuple[int, int]]:
-    """A spanning forest of the candidates among the classes of one band and two blocks of it."""
+    """Spanning forests of the candidates among the classes of one band and two blocks of it."""
     name, n = rows["class"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     side = rows["own"].to_numpy()
     left, right = np.flatnonzero(side == rows["low"].iloc[0]), np.flatnonzero(side == rows["high"].iloc[0])
@@ -211,9 +213,11 @@ def _edges(rows: pd.DataFrame, s: Settings) -> list[tuple[int, int]]:
     profiles = [np.frombuffer(x, "<u8") for x in rows["profile"]]
     words = np.array([len(p) for p in profiles])
     failed = {(int(c), int(f)) for c, found in zip(name, rows["failed"], strict=True) if found is not None for f in found}
-    forest, out, tried = Forest(rows["root"].to_numpy(np.int64)), [], set()
+    # What one forest has joined goes to the next, so the last one is the least joined.
+    forests = [Forest(rows["root"].to_numpy(np.int64)) for _ in range(s.forests)]
+    out: list[tuple[int, int]] = []
     for at in range(0, len(left), SLICE):
-        part, root = left[at: at + SLICE], forest.now()
+        part, root = left[at: at + SLICE], forests[-1].now()
         able = (root[part][:, None] != root[right][None, :]) & (
             100 * np.minimum(n[part][:, None], n[right][None, :]) >= s.percent * np.maximum(n[part][:, None], n[right][None, :]))
         x, y = np.nonzero(able)
@@ -230,8 +234,7 @@ def _edges(rows: pd.DataFrame, s: Settings) -> list[tuple[int, int]]:
                 close = apart * (100 + s.percent) <= (n[p] + n[q]) * (100 - s.percent)
                 for u, v in zip(p[close].tolist(), q[close].tolist(), strict=True):
                     pair = (int(min(name[u], name[v])), int(max(name[u], name[v])))
-                    if pair not in failed and pair not in tried and forest.join(u, v):
-                        tried.add(pair)
+                    if pair not in failed and any(f.join(u, v) for f in forests):
                         out.append(pair)
     return out
 

@@ -223,9 +223,16 @@ def vertical(first: np.ndarray, second: np.ndarray, budget: int) -> tuple[np.nda
     return start, asked, np.where(second > budget, 3, 2), group + 1
 
 
+def suffix_type(s: Settings) -> np.dtype:
+    return np.dtype([("words", "<u8", (s.longest,)), ("n", "<i8"), ("depth", "<i4")])
+
+
 def _suffixes(rows: DataFrame, pairs: np.ndarray, plan: tuple[np.ndarray, np.ndarray, np.ndarray, int], s: Settings) -> DataFrame:
-    """(part, depth, w0 to w4, n): distinct suffixes of frequent pairs, cut to ``longest`` words, 0 behind the end."""
-    names = [f"w{i}" for i in range(s.longest)]
+    """(part, packed): distinct suffixes of frequent pairs with their counts, cut to ``longest`` words, 0 behind the end.
+
+    A task packs those of one part into one row, each time it has gathered enough.
+    """
+    entry = suffix_type(s)
     shared = rows.sparkSession.sparkContext.broadcast((pairs, plan))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,9 +247,14 @@ def _suffixes(rows: DataFrame, pairs: np.ndarray, plan: tuple[np.ndarray, np.nda
             depth = np.where(more, depths[(pair >> U(64 - PLACE_BITS)).astype(np.int64)], 1)
             deal = np.where(depth == 3, mix(pair + keys[:, min(2, s.longest - 1)]), pair)
             part = start[place] + np.where(more, (deal % asked[place].astype(U)).astype(np.int64), 0)
+            order = np.argsort(part, kind="stable")
+            out = np.empty(len(keys), entry)
+            out["words"], out["n"], out["depth"] = keys, counts, depth
+            out, part = out[order], part[order]
+            cut = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
             return pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array(depth, pa.int32()), *(pa.array(np.ascontiguousarray(k).view(np.int64)) for k in keys.T), pa.array(counts)],
-                ["part", "depth", *names, "n"])
+                [pa.array(part[cut[:-1]], pa.int32()), pa.array([out[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
+                ["part", "packed"])
 
         for batch in batches:
             for part, data, offsets in chunks(batch):
@@ -262,8 +274,7 @@ def _suffixes(rows: DataFrame, pairs: np.ndarray, plan: tuple[np.ndarray, np.nda
         if found.size:
             yield given()
 
-    fields = ", ".join(f"{c} long" for c in (*names, "n"))
-    return rows.mapInArrow(run, f"part int, depth int, {fields}")
+    return rows.mapInArrow(run, "part int, packed binary")
 
 
 def nodes(keys: np.ndarray, depth: np.ndarray, counts: np.ndarray, least: int) -> list[tuple[list[int], int]]:
@@ -286,12 +297,12 @@ def nodes(keys: np.ndarray, depth: np.ndarray, counts: np.ndarray, least: int) -
 
 def _phrases(suffixes: DataFrame, s: Settings) -> DataFrame:
     """(phrase, n): sequences of word hashes with at least ``least`` occurrences, of two words or more."""
-    names = [f"w{i}" for i in range(s.longest)]
+    entry = suffix_type(s)
 
     def tree(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = rows[names].to_numpy(np.int64).view(U)
-        order = np.lexsort(keys.T[::-1])
-        found = nodes(keys[order], rows["depth"].to_numpy()[order], rows["n"].to_numpy()[order], s.least)
+        leaves = np.frombuffer(b"".join(rows["packed"]), entry)
+        leaves = leaves[np.lexsort(leaves["words"].T[::-1])]
+        found = nodes(leaves["words"], leaves["depth"], leaves["n"], s.least)
         return pd.DataFrame({"phrase": [k for k, _ in found], "n": [n for _, n in found]}).astype({"n": np.int64})
 
     # The language is part of each word's hash.

@@ -30,7 +30,8 @@ DIGIT[48:58] = 1
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled rows that are learnt from; ``shards`` the tasks that learn.
+    """``sample_rows`` bounds the labelled rows that are learnt from, ``shards`` the tasks that learn; a task has at least
+    about ``shard_rows`` of them, since the weights of a task that sees few stay near zero.
 
     ``shrink`` makes the vectors of very short texts short, so that the share of label 1 decides on them.
     """
@@ -45,6 +46,7 @@ class Settings:
     shrink: float = 4.0
     sample_rows: int = 16_000
     shards: int = 8
+    shard_rows: int = 2_000
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -123,16 +125,17 @@ class Leader:
         self.n[place] += g * g
 
 
-def fit(examples: DataFrame, settings: Settings = Settings(), text: str = "text", label: str = "label") -> np.ndarray:
+def fit(examples: DataFrame, settings: Settings = Settings(), text: str = "text", label: str = "label", id: str | None = None) -> np.ndarray:
     """Weights from (text, label 0 or 1) rows, which should be a bounded sample; rows without a label are left out.
 
-    A null or empty text is an example without n-grams. Without examples all weights are 0, so any
-    score is 0.5.
+    Shards and their order follow from hashes of ``id``, text and label, so how rows are stored does not matter; rows
+    that are equal in all three are interchangeable. A null or empty text is an example without n-grams. Without
+    examples all weights are 0, so any score is 0.5.
     """
     schema = "shard int, w binary"
 
     def learn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("order", kind="stable")
+        rows = rows.sort_values(["order", "label", "text"], kind="stable")
         known, labels = [], rows["label"].to_numpy(float)
         batch = pa.RecordBatch.from_arrays([pa.array(rows["text"], pa.large_string())], ["text"])
         for _, data, offsets in chunks(batch):
@@ -143,14 +146,15 @@ def fit(examples: DataFrame, settings: Settings = Settings(), text: str = "text"
                 leader.learn(place, value, y)
         return pd.DataFrame({"shard": [int(key[0])], "w": [np.append(leader.weights(), leader.constant).tobytes()]})
 
-    order = F.xxhash64(F.col(text), F.col(label))
-    dealt = examples.where(F.col(label).isNotNull()).select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label"), order.alias("order"),
-        F.pmod(F.monotonically_increasing_id() * 31 + order, F.lit(settings.shards)).cast("int").alias("shard"))
-    parts = dealt.groupBy("shard").applyInPandas(learn, schema).collect()
+    order = F.xxhash64(F.col(id) if id else F.lit(0), F.col(text), F.col(label))
+    known = examples.where(F.col(label).isNotNull()).select(
+        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label"), order.alias("order"))
+    shards = max(1, min(settings.shards, known.count() // settings.shard_rows))
+    dealt = known.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "order"), F.lit(shards)).cast("int"))
+    parts = sorted((p.shard, p.w) for p in dealt.groupBy("shard").applyInPandas(learn, schema).collect())
     if not parts:
         return np.zeros((1 << settings.bits) + 1)
-    return np.mean([np.frombuffer(p.w) for p in parts], axis=0)
+    return np.mean([np.frombuffer(w) for _, w in parts], axis=0)
 
 
 def score(df: DataFrame, weights: np.ndarray, settings: Settings = Settings(), text: str = "text",
@@ -189,13 +193,15 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     """The rows of ``docs`` with held_out, score and predicted; learnt from labelled rows that are not held out.
 
     Labels are matched by doc_id. Rows without an id are held out and still scored; a repeated row counts
-    as often as it occurs.
+    as often as it occurs. Other columns stay as they are, the text only with ``keep_text``; columns of the names
+    held_out, score and predicted are replaced. Scores do not depend on how the tables are stored. An empty table
+    gives no rows.
     """
     known = sampled(labels.where(~held_out(F.col("doc_id"))), settings)
     text = docs.select(F.col("doc_id"), F.col("text"))
     # The sample is bounded by sample_rows, so it may be broadcast at any size of the tables.
-    examples = text.join(F.broadcast(known), "doc_id").select("text", F.col("quality").alias("label"))
-    weights = fit(examples, settings)
+    examples = text.join(F.broadcast(known), "doc_id").select("doc_id", "text", F.col("quality").alias("label"))
+    weights = fit(examples, settings, id="doc_id")
     docs = docs.drop("held_out", "score", "predicted")
     return score(docs, weights, settings, keep_text=keep_text).select(
         "*", held_out(F.col("doc_id")).alias("held_out"), (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -53,3 +53,16 @@ def test_dot_products_match_a_plain_sum():
     (a, b) = qc.features(data, np.array([0, 12, 20]), s)
     assert len(a[0]) and abs(weights[a[0]] @ a[1] - sum(weights[p] * v for p, v in zip(*a))) < 1e-9
     assert len(b[0]) < len(a[0])
+
+
+def test_scores_do_not_depend_on_the_layout(labelled):
+    docs, labels = labelled
+    few = qc.Settings(shard_rows=100)
+    found = [{r.doc_id: r.score for r in qc.judge(docs.repartition(n), labels.repartition(n), few).collect()} for n in (1, 3, 7)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_few_labels_are_learnt_by_few_shards(labelled):
+    docs, labels = labelled
+    got = qc.judge(docs, labels.where("doc_id < 80")).join(labels, "doc_id").where("held_out AND quality = 0").collect()
+    assert np.mean([r.predicted == 0 for r in got]) > 0.8
