@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterator
 
@@ -37,6 +39,17 @@ def buckets(df: DataFrame, mb: float = 8.0) -> int:
     return max(1, min(100_000, math.ceil(size / (mb * 1e6))))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many more underscores as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -116,5 +129,16 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidy() -> None:
+    """Give memory that a task has freed back to the machine: Python workers stay for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

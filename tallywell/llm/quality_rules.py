@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywell.llm.common import unused
+
 BLANKS = "\\x20\\x09-\\x0D"
 
 
@@ -47,8 +49,9 @@ def fit(docs: DataFrame, trusted: DataFrame, s: Settings = Settings(), id: str =
     Without any trusted ones, all ratios are 0.
     """
     ids = trusted.select(F.col(id).alias(id)).where(F.col(id).isNotNull()).distinct().withColumn("_target", F.lit(1))
-    # Texts meet their ids before they are split: an array of words is larger than its text.
-    marked = docs.select(F.col(id).alias(id), F.col(text).alias("_text")).join(ids, id, "left")
+    # Texts meet their ids before they are split: an array of words is larger than its text. Both sides are dealt by
+    # the id at any size, so that a large run costs what a small one foretells.
+    marked = docs.select(F.col(id).alias(id), F.col(text).alias("_text")).join(ids.hint("merge"), id, "left")
     counts = (
         marked.select(F.coalesce("_target", F.lit(0)).alias("t"), words_of(F.col("_text")).alias("w"))
         .select("t", F.explode(_grams("w", s.buckets)).alias("b"))
@@ -91,7 +94,7 @@ def _repeat_words(words: str, window: int) -> Column:
 def judge(docs: DataFrame, ratios: list[float], s: Settings = Settings(), text: str = "text") -> DataFrame:
     """``docs`` without the text, with the counts, base_failed, score and kept.
 
-    A null text has no words, so it fails. Repeated rows are judged alike; other columns stay, and those named like
+    A null text has no words, so it fails. An empty table gives no rows. Repeated rows are judged alike; other columns stay, and those named like
     the new ones are replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -99,15 +102,16 @@ def judge(docs: DataFrame, ratios: list[float], s: Settings = Settings(), text:
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     kept = [c for c in docs.columns if c != text and c not in new]
+    w, total = unused(docs, "_w", "_sum")
     found = docs.select(
-        *kept, words_of(F.col(text)).alias("_w"),
+        *kept, words_of(F.col(text)).alias(w),
         F.length(F.translate(whole, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(whole) - F.length(F.translate(whole, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"))
     found = found.select(
-        "*", F.size("_w").cast("long").alias("n_words"), _repeat_words("_w", s.window).alias("n_repeat_words"),
-        F.aggregate(_grams("_w", s.buckets), F.lit(0.0), lambda acc, b: acc + F.get(table, b)).alias("_sum"))
-    score = F.when(F.col("n_words") > 0, F.col("_sum") / (2 * F.col("n_words"))).otherwise(0.0)
+        "*", F.size(w).cast("long").alias("n_words"), _repeat_words(w, s.window).alias("n_repeat_words"),
+        F.aggregate(_grams(w, s.buckets), F.lit(0.0), lambda acc, b: acc + F.get(table, b)).alias(total))
+    score = F.when(F.col("n_words") > 0, F.col(total) / (2 * F.col("n_words"))).otherwise(0.0)
     failed = (F.col("n_words") < s.least_words) | (100 * F.col("n_repeat_words") > s.repeat_percent * F.col("n_words"))
     return found.select(*kept, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         failed.alias("base_failed"), score.alias("score"),
