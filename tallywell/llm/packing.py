@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywell.llm.common import chunks, column, settled
+from tallywell.llm.common import chunks, column, settled, tidy, unused
 from tallywell.llm.packing_plan import plan
 from tallywell.llm.pieces import model_path
 
-REMEMBERED = 600_000
+#: Words whose ids a task remembers; about 60 MB.
+REMEMBERED = 200_000
 
 
 class WordIds:
@@ -61,7 +62,7 @@ def tokenised(docs: DataFrame, model: str = "word_bpe_49k.json", capacity: int =
     """(id, piece, start, length, ids_crc32) of the pieces of each document, each document closed by ``end``.
 
     The model's own normalisation drops white space and lowers case. A null or empty text is one piece of
-    ``end`` alone. Ids may be null or repeated.
+    ``end`` alone. Ids may be null or repeated. Other columns are left out; an empty table gives no pieces.
     """
     schema = T.StructType([
         T.StructField(id, docs.schema[id].dataType), T.StructField("piece", T.IntegerType()),
@@ -87,6 +88,8 @@ def tokenised(docs: DataFrame, model: str = "word_bpe_49k.json", capacity: int =
                     [column(rows, id).take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()),
                      pa.array([p * capacity for p in piece], pa.int64()), pa.array(length, pa.int64()), pa.array(code, pa.int64())],
                     schema.names)
+        words.seen.clear()
+        tidy()
 
     return docs.select(id, text).mapInArrow(run, schema)
 
@@ -94,31 +97,33 @@ def tokenised(docs: DataFrame, model: str = "word_bpe_49k.json", capacity: int =
 def packed(pieces: DataFrame, capacity: int = 4096, groups: int = 24, id: str = "doc_id", per_bucket: int = 20_000) -> DataFrame:
     """``pieces`` with sequence_id and offset: no sequence is longer than ``capacity``, and none has a gap.
 
-    ``pieces`` needs the id, piece, length and ids_crc32; lengths lie from 1 to ``capacity``. Equal pieces may swap
+    ``pieces`` needs the id, piece, length and ids_crc32; its other columns stay, but for those of the new names; lengths lie from 1 to ``capacity``. Equal pieces may swap
     places. Without rows the result is empty.
     """
     spark = pieces.sparkSession
     pieces = settled(pieces.drop("sequence_id", "offset"), "pieces")
     n = pieces.count()
     key = F.xxhash64(id, "piece", "ids_crc32", "length")
-    pieces = pieces.withColumn("_key", key).withColumn(
-        "_bucket", F.pmod(F.xxhash64("_key"), F.lit(max(1, math.ceil(n / per_bucket)))).cast("int"))
-    counts = settled(pieces.groupBy("length", "_bucket").count(), "length-counts")
+    kept = pieces.columns
+    own, bucket, place, rank, begin = unused(pieces, "_key", "_bucket", "_n", "_rank", "_begin")
+    pieces = pieces.withColumn(own, key).withColumn(
+        bucket, F.pmod(F.xxhash64(own), F.lit(max(1, math.ceil(n / per_bucket)))).cast("int"))
+    counts = settled(pieces.groupBy("length", bucket).count(), "length-counts")
     # At most ``capacity`` rows.
     lengths = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("length", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_begin"))
-    within = Window.partitionBy("length", "_bucket").orderBy("_key")
-    ranked = pieces.withColumn("_n", F.row_number().over(within)).join(begins, ["length", "_bucket"]).withColumn(
-        "_rank", F.col("_begin") + F.col("_n") - 1)
+    before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("length", bucket, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(begin))
+    within = Window.partitionBy("length", bucket).orderBy(own)
+    ranked = pieces.withColumn(place, F.row_number().over(within)).join(begins, ["length", bucket]).withColumn(
+        rank, F.col(begin) + F.col(place) - 1)
+    first, many, sequence = unused(ranked, "_from", "_count", "_sequence")
     table = spark.createDataFrame(
         [(r.size, r.rank, r.count, r.sequence, r.offset) for r in plan(lengths, capacity, groups)],
-        "length long, _from long, _count long, _sequence long, offset long")
+        f"length long, {first} long, {many} long, {sequence} long, offset long")
     # The plan is bounded by the number of lengths, not by the number of pieces.
-    found = ranked.join(F.broadcast(table), (ranked.length == table.length) & (F.col("_rank") >= F.col("_from"))
-                        & (F.col("_rank") < F.col("_from") + F.col("_count"))).drop(table.length)
-    return found.withColumn("sequence_id", F.col("_sequence") + F.col("_rank") - F.col("_from")).select(
-        *(c for c in pieces.columns if not c.startswith("_")), "sequence_id", "offset")
+    found = ranked.join(F.broadcast(table), (ranked.length == table.length) & (F.col(rank) >= F.col(first))
+                        & (F.col(rank) < F.col(first) + F.col(many))).drop(table.length)
+    return found.withColumn("sequence_id", F.col(sequence) + F.col(rank) - F.col(first)).select(*kept, "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, model: str = "word_bpe_49k.json", capacity: int = 4096) -> DataFrame:
