@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywell.operators.ranked import top_per_group
+from tallywell.operators.series import Sliced
 from tallywell.schema import NO_ANSWER, PRICE_BANDS
 
 
@@ -229,20 +230,38 @@ def segment_index(
 UNITS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH"}
 
 
+def bucket_no(unit: str, bucket: Column) -> Column:
+    """The number of a day, week or month; neighbours differ by one."""
+    if unit == "month":
+        return (F.year(bucket) * 12 + F.month(bucket)).cast("bigint")
+    days = F.unix_date(F.to_date(bucket)).cast("bigint")
+    # Fixed value: day 4 is the first Monday.
+    return F.floor((days - 4) / 7) if unit == "week" else days
+
+
+def outside(df: DataFrame, first: str, last: str, unit: str = "day", time: str = "submitted_at") -> DataFrame:
+    """(bucket, n) of the rows that ``trend`` leaves out between these dates, such as a clock that was never set."""
+    day = F.to_date(time)
+    stray = df.filter((day < F.lit(first).cast("date")) | (day > F.lit(last).cast("date")))
+    return stray.groupBy(F.date_trunc(unit, F.col(time)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def trend(
     df: DataFrame, unit: str = "week", k: int = 3, by: str | None = None,
-    time: str = "submitted_at", score: str = "satisfaction_int",
+    time: str = "submitted_at", score: str = "satisfaction_int", between: tuple[str, str] | None = None,
 ) -> DataFrame:
     """(by, bucket, n, mean_score, delta, ma) per day, week or month.
 
     A series has a bucket for every unit from its first to its last, with n = 0 where nobody answered. ``delta`` is
-    the change of n against the bucket before and ``ma`` the mean n of this bucket and the k before it. The
-    windows run over buckets, whose number is set by the time span.
+    the change of n against the bucket before and ``ma`` the mean n of this bucket and the k before it. A long series
+    is cut into slices, so no task sees all its buckets. ``between`` two dates keeps one wrong date from
+    stretching the series; ``outside`` lists what it leaves out.
     """
     if unit not in UNITS:
         raise ValueError(f"unit is one of {', '.join(UNITS)}, not {unit!r}")
     keys = [by] if by else []
-    series = Window.partitionBy(by if by else F.lit(0)).orderBy("bucket")
+    if between:
+        df = df.filter(F.to_date(time).between(*[F.lit(d).cast("date") for d in between]))
     found = (
         df.filter(F.col(time).isNotNull()).groupBy(*keys, F.date_trunc(unit, F.col(time)).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"))
@@ -256,8 +275,9 @@ def trend(
     buckets = every.join(found, same, "left").select(
         *[F.col("_by").alias(c) for c in keys], F.col("_bucket").alias("bucket"),
         F.coalesce("n", F.lit(0)).alias("n"), "mean_score")
-    return buckets.select(
+    series = Sliced(buckets, bucket_no(unit, F.col("bucket")), max(k, 1), tuple(keys))
+    return series.select(
         *keys, "bucket", "n", "mean_score",
-        (F.col("n") - F.lag("n").over(series)).alias("delta"),
-        F.avg("n").over(series.rowsBetween(-k, 0)).alias("ma"),
+        (F.col("n") - F.lag("n").over(series.window)).alias("delta"),
+        F.avg("n").over(series.window.rowsBetween(-k, 0)).alias("ma"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywell.functions import answers as typed
 from tallywell.functions.text import words
-from tallywell.operators import labelling, long_lists, quality, ranges, relate, tabulate, wording
+from tallywell.operators import labelling, long_lists, pairs, quality, ranges, relate, tabulate, wording
 from tallywell.plans.adapters import (
     ANSWER_COLUMNS, NEGATIVE, POSITIVE, PRICE_CODES, PRICE_EDGES, SCENE, answers, arriving, comments,
     multi_answers, table, timeline,
@@ -462,7 +462,7 @@ def b13_segment_index_coded(spark, folder):
 
 @query
 def b14_co_occurrence(spark, folder):
-    return rounded(relate.co_occurrence(multi_answers(spark, folder), "options"),
+    return rounded(pairs.co_occurrence(multi_answers(spark, folder), "options"),
                    "support", "confidence", "lift")
 
 
@@ -470,7 +470,7 @@ def b14_co_occurrence(spark, folder):
 def b14_co_occurrence_phrases(spark, folder):
     """Scene phrases named together in at least two documents."""
     df = labelling.extract(comments(spark, folder), SCENE, "scene")
-    return rounded(relate.co_occurrence(df, "scene", min_n=2), "support", "confidence", "lift")
+    return rounded(pairs.co_occurrence(df, "scene", min_n=2), "support", "confidence", "lift")
 
 
 @query

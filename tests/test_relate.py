@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from tallywell.operators import relate
+from tallywell.operators import pairs, relate
 
 
 def test_join_kinds(spark):
@@ -71,7 +71,7 @@ def test_co_occurrence_against_brute_force(spark, min_n, wide):
     rows += [list(rows[-1])] * 2                               # an equal wide answer, weight 3
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id bigint, arr array<string>").repartition(4)
     got = {(r.a, r.b): (r.n, r.support, r.confidence, r.lift)
-           for r in relate.co_occurrence(df, "arr", min_n, wide=wide).collect()}
+           for r in pairs.co_occurrence(df, "arr", min_n, block=wide).collect()}
     want = pairs_by_hand(rows, min_n)
     assert set(got) == set(want)
     for pair in want:
@@ -81,7 +81,7 @@ def test_co_occurrence_against_brute_force(spark, min_n, wide):
 def test_co_occurrence_with_missing_and_repeated_ids(spark):
     rows = [(None, ["a", "b"]), (None, ["c", "d"]), (7, ["a", "e"]), (7, ["c", "f"]), (8, ["a", "b"])]
     df = spark.createDataFrame(rows, "id bigint, arr array<string>")
-    got = {(r.a, r.b): r.n for r in relate.co_occurrence(df, "arr").collect()}
+    got = {(r.a, r.b): r.n for r in pairs.co_occurrence(df, "arr").collect()}
     assert got == {("a", "b"): 2, ("c", "d"): 1, ("a", "e"): 1, ("c", "f"): 1}
 
 
