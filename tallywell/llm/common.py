@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywell.sources.scratch import scratch_path
 
@@ -33,10 +34,20 @@ def settled(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def buckets(df: DataFrame, mb: float = 8.0) -> int:
-    """How many parts of about ``mb`` MB of stored data ``df`` has, from Spark's own size estimate."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, min(100_000, math.ceil(size / (mb * 1e6))))
+def buckets(df: DataFrame, mb: float = 8.0, text: str | None = None) -> int:
+    """How many parts of about ``mb`` MB ``df`` has: of the bytes of its column ``text``, which are counted, or of the
+    files of a table just written (``settled``). There is no most."""
+    if text is None:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    else:
+        size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(1, math.ceil(size / (mb * 1e6)))
+
+
+def cuts_of(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parts that occur, bounds of their rows) of sorted part numbers; the cost does not grow with the number of parts."""
+    first = np.flatnonzero(np.diff(part, prepend=-1) != 0)
+    return part[first], np.append(first, len(part))
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:
