@@ -7,6 +7,8 @@ import numpy as np
 from tallywell.llm.common import BASE_INVERSE, U, mix, powers, running_hash
 
 PLACE_BITS = 28
+#: Texts beyond this many bytes are read in stretches that overlap by a window; it is below 2^PLACE_BITS.
+STRETCH = 64 << 20
 
 
 def window_hashes(running: np.ndarray, length: int) -> np.ndarray:
@@ -26,13 +28,26 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1: width - 1 + n])
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(data: np.ndarray, offsets: np.ndarray, length: int, width: int, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first place, number of windows, key) of runs of consecutive windows with one anchor.
 
     A window is ``length`` bytes of one text. Its anchor is the last of its stretches of ``width`` bytes with the
     least hash, and that hash is its key; so both depend on nothing but the window. Each window is in one run, and
-    no two windows of a run are equal.
+    no two windows of a run are equal. More than ``stretch`` windows are read in stretches, and a run ends with its
+    stretch.
     """
+    n = len(data) - length + 1
+    if n <= stretch:
+        return _runs(data, offsets, length, width)
+    found = []
+    for low in range(0, n, stretch):
+        part = data[low: low + stretch + length - 1]
+        text, first, count, key = _runs(part, np.clip(offsets - low, 0, len(part)), length, width)
+        found.append((np.searchsorted(offsets, first + low, "right") - 1, first + low, count, key))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = len(data) - length + 1
     none = np.zeros(0, np.int64)
     if n <= 0:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallywell.llm.anchors import runs, window_hashes
-from tallywell.llm.common import U, buckets, chunks, column, mix, running_hash, settled, span_hash
+from tallywell.llm.common import U, buckets, chunks, column, cuts_of, mix, running_hash, settled, span_hash, unused
 from tallywell.llm.suffix_array import Shard
 
 
@@ -38,16 +38,17 @@ class Settings:
     shard_bytes: int = 2 << 20
 
 
+#: Over how many tasks the rows of a key are dealt while its heat is looked up.
+SALTS = 64
 PAIR = np.dtype([("key", "<u8"), ("row", "<i8"), ("sure", "u1")])
 
 
-def _dealt(pieces: np.ndarray, part: np.ndarray, parts: int) -> pa.RecordBatch:
+def _dealt(pieces: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(part, kind="stable")
-    pieces, part = pieces[order], part[order]
-    cuts = np.searchsorted(part, np.arange(parts + 1))
-    live = np.flatnonzero(np.diff(cuts))
+    pieces = pieces[order]
+    live, cuts = cuts_of(part[order])
     return pa.RecordBatch.from_arrays(
-        [pa.array(live, pa.int32()), pa.array([pieces[cuts[p]: cuts[p + 1]].tobytes() for p in live], pa.binary())],
+        [pa.array(live, pa.int32()), pa.array([pieces[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
         ["part", "packed"])
 
 
@@ -73,7 +74,7 @@ def _repeated_keys(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
             sure["sure"] = 1
             out = np.concatenate([found[cut], sure])
             spread = np.where(out["sure"] == 1, mix(out["row"].view(U) ^ out["key"]), mix(out["key"]))
-            yield _dealt(out, (spread % U(parts)).astype(np.int64), parts)
+            yield _dealt(out, (spread % U(parts)).astype(np.int64))
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         found = np.frombuffer(b"".join(rows["packed"]), PAIR)
@@ -88,8 +89,9 @@ def _repeated_keys(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
 
 def _marked(rows: DataFrame, keys: DataFrame, s: Settings) -> DataFrame:
     """(row, text, keys, hot): the texts that have repeated keys."""
-    often = keys.groupBy("key").count().where(F.col("count") > s.hot).select("key", F.lit(True).alias("hot"))
-    keys = keys.join(often, "key", "left")
+    often = keys.groupBy("key").count().where(F.col("count") > s.hot).select(
+        "key", F.lit(True).alias("hot"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    keys = keys.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(often, ["key", "salt"], "left")
     marks = keys.groupBy("row").agg(
         F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot"))
     return rows.join(marks, "row")
@@ -232,19 +234,19 @@ def _spans(starts: list[int], ranges: list, length: int) -> list[tuple[int, int]
     return out
 
 
-def _with_row(docs: DataFrame, id: str, text: str) -> DataFrame:
-    return docs.withColumn("_row", F.xxhash64(F.col(id), F.col(text)))
+def _with_row(docs: DataFrame, id: str, text: str, name: str = "_row") -> DataFrame:
+    return docs.withColumn(name, F.xxhash64(F.col(id), F.col(text)))
 
 
 def repeats(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(texts, spans): (row, text) of the rows with repeated keys, and (row, places) with what repeats in them.
 
     ``row`` is a hash of id and text, so equal rows share it; they repeat each other. A null text is empty and has no
-    windows; ids may be null or repeated; other columns are ignored.
+    windows; ids may be null or repeated; other columns are ignored. An empty table gives no rows.
     """
     s = settings
     rows = _with_row(docs, id, text).select(F.col("_row").alias("row"), F.col(text).alias("text"))
-    parts = buckets(docs, 3)
+    parts = buckets(rows, 5, "text")
     keys = settled(_repeated_keys(rows, parts, s), "repeated-keys")
     marked = settled(_marked(rows, keys, s), "marked-texts", "zstd")
     decided = _shards(_occurrences(marked, s, parts), s)
@@ -253,7 +255,7 @@ def repeats(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id"
     return marked.select("row", "text"), settled(spans, "spans")
 
 
-def _cut(texts: DataFrame, length: int, schema: T.StructType, make: Callable) -> DataFrame:
+def _cut(texts: DataFrame, length: int, schema: T.StructType, make: Callable, text: str = "text", places: str = "places") -> DataFrame:
     """Rows of ``make(other columns, bytes, kept bytes, spans)`` from texts with their places."""
     kind = to_arrow_schema(schema)
 
@@ -262,8 +264,8 @@ def _cut(texts: DataFrame, length: int, schema: T.StructType, make: Callable) ->
             for low in range(0, batch.num_rows, 256):
                 out = []
                 for row in batch.slice(low, 256).to_pylist():
-                    places, data = row.pop("places"), (row.pop("text") or "").encode()
-                    spans = _spans([p["start"] for p in places], [p["ranges"] for p in places], length)
+                    found, data = row.pop(places), (row.pop(text) or "").encode()
+                    spans = _spans([p["start"] for p in found], [p["ranges"] for p in found], length)
                     kept, at = [], 0
                     for start, end in spans:
                         kept.append(data[at:start])
@@ -290,13 +292,14 @@ def report(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id",
 
 
 def deduplicate(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with repeated bytes taken out of their texts; a broken character at a seam is dropped."""
+    """``docs`` with repeated bytes taken out of their texts; a broken character at a seam is dropped.
+
+    Other columns stay as they are, whatever their names. A null text stays null, and an empty table empty.
+    """
     _, spans = repeats(docs, settings, id, text)
-    marked = _with_row(docs, id, text).join(spans.withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
-    clean = marked.where("places IS NULL").drop("places")
-    if text != "text":
-        marked = marked.withColumnRenamed(text, "text")
-    fields = [f for f in marked.schema if f.name != "places"]
-    cut = _cut(marked.where("places IS NOT NULL"), settings.length, T.StructType(fields), lambda row, data, kept, found: {
-        **row, "text": kept.decode("utf-8", "ignore")})
-    return clean.unionByName(cut.withColumnRenamed("text", text)).select(*docs.columns)
+    row, places = unused(docs, "_row", "_places")
+    marked = _with_row(docs, id, text, row).join(
+        spans.select(F.col("row").alias(row), F.col("places").alias(places)), row, "left").select(*docs.columns, places)
+    cut = _cut(marked.where(F.col(places).isNotNull()), settings.length, docs.schema, lambda row, data, kept, found: {
+        **row, text: kept.decode("utf-8", "ignore")}, text, places)
+    return marked.where(F.col(places).isNull()).select(*docs.columns).unionByName(cut)
