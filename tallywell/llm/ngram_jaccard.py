@@ -31,11 +31,13 @@ from tallywell.llm.common import (
     buckets,
     chunks,
     column,
+    cuts_of,
     mix,
     running_hash,
     settled,
     span_hash,
     stream,
+    unused,
     words,
 )
 from tallywell.llm.components import components
@@ -198,11 +200,10 @@ def _shared_tokens(prefixes: DataFrame, parts: int) -> DataFrame:
             out["class"] = np.repeat(column(batch, "class").to_numpy(), np.diff(tokens.offsets.to_numpy()))
             part = (mix(flat | U(3)) % U(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            live = np.flatnonzero(np.diff(cuts))
+            live, cuts = cuts_of(part[order])
             out = out[order]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(live, pa.int32()), pa.array([out[cuts[p]: cuts[p + 1]].tobytes() for p in live], pa.binary())],
+                [pa.array(live, pa.int32()), pa.array([out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
                 ["part", "packed"])
 
     def repeated(rows: pd.DataFrame) -> pd.DataFrame:
@@ -349,14 +350,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, s: Settings, at_once: int = 25
     return settled(rows.groupBy("part").applyInPandas(compare, "hub long, class long"), "verified")
 
 
-def _by_class(texts: DataFrame, parts: int) -> DataFrame:
-    """One text of each class, as a table in buckets of the class, so that later joins do not move texts."""
+def _by_class(texts: DataFrame, parts: int) -> tuple[DataFrame, str]:
+    """(texts, name): one text of each class, as a table in buckets of the class, so that later joins do not move texts.
+
+    The table is known to the catalog by ``name`` until the caller drops it; its files stay in the scratch folder.
+    """
     spark = texts.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts)
     path = scratch_path(spark, "texts")
     name = "texts_" + path.rsplit("-", 1)[1]
     texts.repartition(parts, "class").dropDuplicates(["class"]).write.bucketBy(parts, "class").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def groups(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -373,10 +377,14 @@ def groups(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id",
     stars = settled(_star_pairs(prefixes, s), "stars")
     asked = tokens.select("class").union(stars.select("class")).union(stars.select("hub")).distinct()
     first = classes.where("class <> 0").groupBy("class").agg(F.min("row").alias("row"))
-    texts = _by_class(rows.select("row", "text").join(first.join(asked, "class"), "row").select("class", "text"), buckets(docs, 32))
-    links = _verified(stars, texts, s)
-    roots = settled(components(links, "hub", "class"), "roots")
-    more = _verified(_prefix_pairs(tokens, prefixes, roots, s), texts, s)
+    texts, name = _by_class(
+        rows.select("row", "text").join(first.join(asked, "class"), "row").select("class", "text"), buckets(docs, 54, text))
+    try:
+        links = _verified(stars, texts, s)
+        roots = settled(components(links, "hub", "class"), "roots")
+        more = _verified(_prefix_pairs(tokens, prefixes, roots, s), texts, s)
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     roots = components(links.union(more), "hub", "class").withColumnRenamed("node", "class")
     return classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
@@ -391,11 +399,16 @@ def link(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", t
 
 
 def deduplicate(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, that with the smallest id; rows without words all stay."""
+    """One row of each component, that with the smallest id; rows without words all stay.
+
+    Other columns stay as they are, whatever their names. Rows that are equal in id and text are one; an empty table
+    stays empty.
+    """
     rows = settled(groups(docs, settings, id, text), "groups")
+    (key,) = unused(docs, "_row")
     stay = rows.where("class <> 0").groupBy("root").agg(
-        F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("x")).select(F.col("x.row").alias("_row"))
-    marked = docs.withColumn("_row", F.xxhash64(F.col(id), F.col(text)))
+        F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("x")).select(F.col("x.row").alias(key))
+    marked = docs.withColumn(key, F.xxhash64(F.col(id), F.col(text)))
     blank = marked.where(F.coalesce(F.trim(F.translate(F.col(text), "\t\n\x0b\x0c\r", "     ")), F.lit("")) == "")
-    kept = marked.join(stay, "_row").dropDuplicates(["_row"])
-    return kept.unionByName(blank).drop("_row")
+    kept = marked.join(stay, key).dropDuplicates([key])
+    return kept.unionByName(blank).select(*docs.columns)
