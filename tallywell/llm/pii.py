@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallywell.llm.common import LOWER, U, buckets, chunks, column, mix, running_hash, settled, span_hash, words
+from tallywell.llm.common import LOWER, U, buckets, chunks, column, cuts_of, mix, running_hash, settled, span_hash, unused, words
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("removed", "general")
@@ -224,12 +224,14 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
             total = np.empty(len(value), TERM)
             total["term"], total["docs"] = value, np.bincount(inverse, joined["docs"], len(value))
             total["held"] = np.bincount(inverse, joined["held"], len(value))
-            total, cuts = _dealt(total, parts)
-            pairs, pair_cuts = _dealt(_added_up(np.concatenate(links)), parts)
-            live = np.flatnonzero(np.diff(cuts))
+            total, part = _dealt(total, parts)
+            live, cuts = cuts_of(part)
+            # The terms of pairs are among those counted.
+            pairs, part = _dealt(_added_up(np.concatenate(links)), parts)
+            low, high = np.searchsorted(part, live), np.searchsorted(part, live, "right")
             packed = {"part": pa.array(live, pa.int32()),
-                      "packed": pa.array([total[cuts[p]: cuts[p + 1]].tobytes() for p in live], pa.binary()),
-                      "pairs": pa.array([pairs[pair_cuts[p]: pair_cuts[p + 1]].tobytes() for p in live], pa.binary())}
+                      "packed": pa.array([total[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                      "pairs": pa.array([pairs[a:b].tobytes() for a, b in zip(low, high, strict=True)], pa.binary())}
             yield pa.RecordBatch.from_arrays(
                 [packed[f.name] if f.name in packed else pa.nulls(len(live), kinds.field(f.name).type) for f in schema], schema.names)
 
@@ -237,10 +239,10 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
 
 
 def _dealt(found: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """``found`` by the parts of its terms, and where each part begins."""
+    """``found`` by the parts of its terms, and these parts."""
     part = (mix(found["term"]) % U(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    return found[order], np.searchsorted(part[order], np.arange(parts + 1))
+    return found[order], part[order]
 
 
 def _added_up(pairs: np.ndarray) -> np.ndarray:
@@ -315,10 +317,10 @@ def find(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: st
 
     ``base`` is the written base spans, ``added`` the spans (start, end, kind) of terms that reveal an entity. ``row``
     is a hash of id and text. A null text is empty. Ids may be null or repeated; repeated rows count as documents of
-    their own, and yet as one context. Other columns are ignored.
+    their own, and yet as one context. Other columns are ignored. An empty table gives no rows.
     """
     rows = docs.select(F.col(id).alias(id), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", F.xxhash64(id, "text"))
-    every = settled(_found(rows, buckets(docs, 8), s), "found", "zstd")
+    every = settled(_found(rows, buckets(rows, 13.5, "text"), s), "found", "zstd")
     found = every.where("part IS NULL").drop("part", "packed", "pairs")
     packed = every.where("part IS NOT NULL").select("part", "packed", "pairs")
     total = found.count()
@@ -367,11 +369,15 @@ def report(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text:
 
 
 def sanitise(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with entities and revealing terms replaced by labels of their kinds."""
+    """``docs`` with entities and revealing terms replaced by labels of their kinds.
+
+    Other columns stay as they are, whatever their names. A null text stays null, and an empty table empty.
+    """
     spans = find(docs, s, id, text).where("base <> '' OR added IS NOT NULL").select("row", "base", "added").dropDuplicates(["row"])
     own = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(F.col(id), F.coalesce(F.col(text), F.lit("")))).join(
-        spans.select(F.col("row").alias("_row"), F.col("base").alias("_base"), F.col("added").alias("_added")), "_row", "left")
+    key, base, added = unused(docs, "_row", "_base", "_added")
+    marked = docs.withColumn(key, F.xxhash64(F.col(id), F.coalesce(F.col(text), F.lit("")))).join(
+        spans.select(F.col("row").alias(key), F.col("base").alias(base), F.col("added").alias(added)), key, "left")
 
     @F.pandas_udf("string")
     def replace(texts: pd.Series, base: pd.Series, added: pd.Series) -> pd.Series:
@@ -385,5 +391,5 @@ def sanitise(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text
             out.append("".join([*parts, t[at:]]))
         return pd.Series(out, dtype=object)
 
-    hit = marked.where("_base IS NOT NULL").withColumn(text, replace(F.col(text), "_base", "_added"))
-    return marked.where("_base IS NULL").select(*own).unionByName(hit.select(*own))
+    hit = marked.where(F.col(base).isNotNull()).withColumn(text, replace(F.col(text), base, added))
+    return marked.where(F.col(base).isNull()).select(*own).unionByName(hit.select(*own))
