@@ -21,6 +21,7 @@ from tallywell.llm.common import (
     U,
     buckets,
     chunks,
+    cuts_of,
     mix,
     running_hash,
     settled,
@@ -37,10 +38,10 @@ END_KEY = -1
 
 @dataclass(frozen=True)
 class Settings:
-    """``smoothing`` is of the word model; ``bucket_mb`` is stored data a bucket."""
+    """``smoothing`` is of the word model; ``bucket_mb`` is text a bucket."""
 
     smoothing: float = 0.1
-    bucket_mb: float = 6.0
+    bucket_mb: float = 10.0
 
 
 def _batch(texts: pd.Series) -> pa.RecordBatch:
@@ -72,10 +73,11 @@ def _merged(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _dealt(kind: str, bucket: int, found: np.ndarray, part: np.ndarray, parts: int) -> list[tuple]:
+def _dealt(kind: str, bucket: int, found: np.ndarray, part: np.ndarray) -> list[tuple]:
     order = np.argsort(part, kind="stable")
-    found, cuts = found[order], np.searchsorted(part[order], np.arange(parts + 1))
-    return [(kind, p, bucket, found[cuts[p]: cuts[p + 1]].tobytes(), None) for p in np.flatnonzero(np.diff(cuts)).tolist()]
+    found = found[order]
+    live, cuts = cuts_of(part[order])
+    return [(kind, p, bucket, found[a:b].tobytes(), None) for p, a, b in zip(live.tolist(), cuts[:-1], cuts[1:], strict=True)]
 
 
 def _ask(parts: int):
@@ -95,8 +97,8 @@ def _ask(parts: int):
         pair = ((grams["key"] >> (ORDER * WIDTH)) << WIDTH) | (grams["key"] & MASK)
         unique, inverse = np.unique(pair, return_inverse=True)
         sums = np.bincount(inverse, grams["count"]).astype(np.int64)
-        out = _dealt("code", bucket, grams, (mix(near.astype(U)) % U(parts)).astype(np.int64), parts)
-        out += _dealt("word", bucket, terms, (mix(terms["key"].view(U)) % U(parts)).astype(np.int64), parts)
+        out = _dealt("code", bucket, grams, (mix(near.astype(U)) % U(parts)).astype(np.int64))
+        out += _dealt("word", bucket, terms, (mix(terms["key"].view(U)) % U(parts)).astype(np.int64))
         out.append(("pairs", 0, bucket, None, [{"pair": p, "n": n} for p, n in zip(unique.tolist(), sums.tolist(), strict=True) if n]))
         return pd.DataFrame(out, columns=["kind", "part", "bucket", "packed", "pairs"])
 
@@ -158,7 +160,7 @@ def score(docs: DataFrame, learn: str, s: Settings = Settings(), id: str = "doc_
     counts. A null text is empty; ids may be null or repeated, and repeated rows are each learnt from and scored.
     Without training texts all bytes are equally likely.
     """
-    parts = buckets(docs, s.bucket_mb)
+    parts = buckets(docs, s.bucket_mb, text)
     rows = docs.select(F.col(id).alias(id), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(id, "text"), F.lit(parts)).cast("int"))
     asked = settled(rows.groupBy("bucket").applyInPandas(_ask(parts), SENT), "asked", "zstd")
