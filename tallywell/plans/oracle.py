@@ -338,6 +338,11 @@ ORACLE_SQL = {
     "b15_phrase_topk": f"""WITH {SENTENCES}, {_found(POSITIVE, 'found')},
       c AS (SELECT phrase, count(*) AS n FROM found GROUP BY phrase)
       SELECT phrase, n, row_number() OVER (ORDER BY n DESC, phrase) AS rank FROM c QUALIFY rank <= 50""",
+    "b15_phrase_topk_sketched": f"""WITH w AS (
+        SELECT unnest(list_distinct(string_split_regex(lower(text), '{WORD}'))) AS phrase FROM documents),
+      c AS (SELECT phrase, count(*) AS n FROM w WHERE length(phrase) > 0 GROUP BY 1)
+      SELECT phrase, n, row_number() OVER (ORDER BY n DESC, phrase) AS rank, n * 8192 > 7 * sum(n) OVER () AS sure
+      FROM c QUALIFY rank <= 50""",
     "b16_text_ngrams": """WITH t AS (SELECT regexp_extract_all(text, '(?s).') AS c FROM documents),
       g AS (SELECT unnest(list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1])) AS gram FROM t)
       SELECT gram, count(*) AS n FROM g GROUP BY 1""",

@@ -479,6 +479,13 @@ def b15_phrase_topk(spark, folder):
     return wording.phrase_topk(df, "positive_point", 50)
 
 
+@query
+def b15_phrase_topk_sketched(spark, folder):
+    """The words of most comments, by a sketch of 6,000 words and a count of what it holds."""
+    df = comments(spark, folder).select(words(F.col("free_comment")).alias("used"))
+    return wording.phrase_topk_sketched(df, "used", 50, max_items=6_000)
+
+
 @query
 def b16_text_ngrams(spark, folder):
     return wording.ngram_counts(comments(spark, folder))
