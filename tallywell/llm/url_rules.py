@@ -1,13 +1,16 @@
 """URL filters: listed host and path rules, and token rules that FP-growth mines from labelled URLs.
 
-A URL becomes a set of tokens: the ends of its host, its first path segments with digits folded, the extension of its
-file, the names of its query, and its scheme. Frequent sets of tokens with a label give association rules;
-those with enough support and confidence stay, unless a part of one says the same at least as surely. A rule is
-indexed by its rarest token, so a URL meets only rules that share that token with it.
+A URL becomes a set of tokens: the ends and the labels of its host, its path segments with digits folded, with and
+without their place, the extension of its file, the names of its query, and its scheme. Tokens too rare for any rule
+go, and tokens that stand in the same labelled URLs are one: else a long host or path that many URLs share would have
+all of its subsets mined. Frequent sets of tokens with a label give association rules; those with enough support and
+confidence stay, unless a part of one says the same at least as surely. A rule is indexed by its rarest token, so a
+URL meets only rules that share that token with it.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -65,18 +68,47 @@ def listed_rule(host: Column, path: Column, rules: list[Listed]) -> tuple[Column
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
     """The distinct tokens of a URL; none for one without a host."""
     labels = F.split(host, "\\.")
-    ends = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(3))), lambda n: F.concat(
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(
         F.lit("host:"), F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".")))
+    single = F.transform(F.filter(labels, lambda x: x != ""), lambda x: F.concat(F.lit("label:"), x))
     folded = F.regexp_replace(path, "[0-9]+", "#")
-    steps = F.transform(F.slice(F.filter(F.split(folded, "/"), lambda x: x != ""), 1, 2),
-                        lambda x, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), F.regexp_replace(x, "\\..*$", "")))
+    segments = F.transform(F.filter(F.split(folded, "/"), lambda x: x != ""), lambda x: F.regexp_replace(x, "\\..*$", ""))
+    steps = F.transform(segments, lambda x, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), x))
+    anywhere = F.transform(segments, lambda x: F.concat(F.lit("path:"), x))
     ending = F.regexp_extract(folded, "\\.([A-Za-z#]{1,8})$", 1)
     asked = F.regexp_extract(url, "\\?([^#]*)", 1)
     names = F.transform(F.filter(F.split(asked, "&"), lambda x: x != ""),
                         lambda x: F.concat(F.lit("query:"), F.substring_index(x, "=", 1)))
-    rest = F.array(F.concat(F.lit("scheme:"), F.substring_index(url, "://", 1)), F.concat(F.lit("host:"), host),
-                   F.concat(F.lit("file:"), ending))
-    return F.when(host != "", F.array_distinct(F.concat(ends, steps, names, rest))).otherwise(F.array().cast("array<string>"))
+    rest = F.array(F.concat(F.lit("scheme:"), F.substring_index(url, "://", 1)), F.concat(F.lit("file:"), ending))
+    return F.when(host != "", F.array_distinct(F.concat(ends, single, steps, anywhere, names, rest))).otherwise(F.array().cast("array<string>"))
+
+
+def frequent_tokens(labelled: DataFrame, s: Settings = Settings(), tokens: str = "tokens") -> DataFrame:
+    """(token, stands_for) of the tokens in at least ``support`` of the rows; equal ``stands_for``: in the same rows.
+
+    Rows are told apart by 64-bit hashes of their tokens, summed in decimals. There are at most the mean number of tokens of
+    a row over ``support`` of them, whatever the number of rows.
+    """
+    rows = labelled.where(F.size(tokens) > 0).select(tokens)
+    own = F.xxhash64(F.array_sort(tokens)).cast("decimal(20,0)")
+    seen = rows.select(own.alias("row"), F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"), F.sum("row").alias("sum"))
+    least = math.ceil(s.support * rows.count() - 1e-9)
+    seen = settled(seen.where(F.col("n") >= least), "frequent-tokens")
+    names = seen.groupBy("n", "sum").agg(F.min("token").alias("stands_for"))
+    return settled(seen.join(names, ["n", "sum"]).select("token", "stands_for"), "token-classes")
+
+
+def condensed(tokens: Column, known: DataFrame) -> Column:
+    """``tokens`` without those that are not ``known``, each by what it stands for.
+
+    ``known`` is read into the query as a literal map; ``frequent_tokens`` states its bound.
+    """
+    pairs = [(r.token, r.stands_for) for r in known.collect()]
+    if not pairs:
+        return F.array().cast("array<string>")
+    names = F.map_from_arrays(F.lit([a for a, _ in pairs]), F.lit([b for _, b in pairs]))
+    return F.array_distinct(F.filter(F.transform(tokens, lambda x: F.element_at(names, x)), lambda x: x.isNotNull()))
 
 
 def mine(labelled: DataFrame, s: Settings = Settings(), tokens: str = "tokens", label: str = "label") -> DataFrame:
@@ -121,14 +153,16 @@ def judge(pages: DataFrame, listed: list[Listed] = LISTED, s: Settings = Setting
 
     Listed rules decide where they fit, and their verdicts are the labels that token rules are mined from; the rest
     go to the surest mined rule that fits, or to ``otherwise``. A null URL, or one without ``://``, has an
-    empty host and path. Ids may be null or repeated; other columns are ignored.
+    empty host and path. Ids may be null or repeated; other columns are ignored. An empty table gives no rows.
     """
     rows = pages.select(F.col(id).alias(id), F.col(url).alias("url")).select("*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = listed_rule(F.col("host"), F.col("path"), listed)
     rows = rows.select("*", rule.alias("rule"), verdict.alias("_listed"))
     known = rows.select(tokens_of(F.col("url"), F.col("host"), F.col("path")).alias("tokens"), F.col("_listed").alias("label"))
-    rules = mine(known.where("label IS NOT NULL"), s)
+    known = settled(known.where("label IS NOT NULL"), "labelled-urls")
+    classes = frequent_tokens(known, s)
+    rules = mine(known.select(condensed(F.col("tokens"), classes).alias("tokens"), "label"), s)
     open_ = rows.where("rule IS NULL AND host <> ''").select("url", "host", "path").distinct().select(
-        "url", tokens_of(F.col("url"), F.col("host"), F.col("path")).alias("tokens"))
+        "url", condensed(tokens_of(F.col("url"), F.col("host"), F.col("path")), classes).alias("tokens"))
     return rows.join(fitting(open_, rules), "url", "left").select(
         id, "host", "path", "rule", F.coalesce("_listed", "_mined", F.lit(s.otherwise)).alias("verdict"))
