@@ -1,3 +1,7 @@
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from tallywell.functions import text as t
@@ -59,6 +63,33 @@ def test_phrase_topk_and_its_sketch(spark):
     assert wording.phrase_topk_approx(df, "p", 1).collect()[0].asDict() == {"phrase": "x", "n": 2}
 
 
+@pytest.mark.parametrize("by", [None, "day"])
+def test_sketches_of_parts_hold_every_frequent_phrase(spark, by):
+    rnd = random.Random(4)
+    lists = [(i % 5, [f"p{int(rnd.paretovariate(0.7))}" for _ in range(20)]) for i in range(2000)]
+    counts = Counter(x for _, p in lists for x in set(p))
+    df = spark.createDataFrame([*lists, (9, None), (9, [])], "day int, p array<string>").repartition(7)
+    items, total = 90, sum(counts.values())
+    found = {r.phrase: r for r in wording.merged_candidates(wording.phrase_sketches(df, "p", by and F.col(by), items), items).collect()}
+    a, b = wording.least_share(items)
+    assert (a, b) == (7, 128) and len(counts) > 6 * b and len(found) <= items
+    sure = {x for x, n in counts.items() if n * b > total * a}
+    assert sure and sure <= set(found)
+    for x, r in found.items():
+        assert r.total == total and abs(r.estimate - counts[x]) * b <= 3.5 * total
+
+
+def test_sketched_topk_is_exact_where_sure(spark):
+    rnd = random.Random(5)
+    lists = [([f"p{int(rnd.paretovariate(0.7))}" for _ in range(20)],) for _ in range(2000)]
+    df = spark.createDataFrame(lists, "p array<string>").repartition(5)
+    got = sorted(wording.phrase_topk_sketched(df, "p", 40, 700).collect(), key=lambda r: r.rank)
+    want = sorted(wording.phrase_topk(df, "p", 40).collect(), key=lambda r: r.rank)
+    sure = [r for r in got if r.sure]
+    assert 3 <= len(sure) < 40 and [tuple(r)[:3] for r in sure] == [tuple(r) for r in want[: len(sure)]]
+    assert wording.phrase_topk_sketched(df.limit(0), "p", 3).count() == 0
+
+
 def test_distinctive_terms(spark):
     df = spark.createDataFrame([("en", "a b"), ("fr", "a c c"), ("de", "a"), (None, "q")], "seg string, t string")
     got = wording.distinctive_terms(df, "seg", t.words(F.col("t")), 1)
