@@ -1,5 +1,6 @@
 from itertools import combinations
 
+from pyspark.sql import functions as F
 
 from tallywell.llm import url_rules as u
 
@@ -70,3 +71,25 @@ def test_learnt_from_listed_pages(spark):
     got = {r.page_id: r.verdict for r in u.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
     assert got[120] == "block" and got[121] == "allow"
     assert u.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_deep_segments_and_single_labels_are_learnt(spark):
+    """Labels follow from the fifth segment or from the fourth label of the host; hosts and paths are long and much alike."""
+    deep = "/".join("abcdefghijklmnopqrst")
+    urls = [f"http://w{i % 3}.{deep.replace('/', '.')}.net/x{i}" for i in range(40)]  # blocked by net/
+    urls += [f"http://m{i % 6}.bad.w{i % 5}.site{i % 11}.net/a/{i}" for i in range(40)]
+    urls += [f"http://s{i % 4}.org/fr/{deep}/good/{i}" for i in range(40)]
+    asked = ["http://q.bad.w9.other.com/z", "http://other.com/uu/vv/ww/good/zz", "http://other.com/z", "http://k.bad.org/q/good"]
+    got = {r.page_id: r.verdict for r in u.judge(spark.createDataFrame(list(enumerate(urls + asked)), "page_id long, url string")).collect()}
+    assert [got[i] for i in range(120)] == ["block"] * 80 + ["allow"] * 40
+    assert got[120] == "block" and got[121] == got[122] == "allow"
+
+
+def test_tokens_of_equal_rows_are_one(spark):
+    rows = [["a", "b", "c"]] * 5 + [["a", "b", "d"]] * 5 + [["c", "e"]] + [["d", "d"]]
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>")
+    known = u.frequent_tokens(df, u.Settings(support=0.2))
+    assert dict(map(tuple, known.collect())) == {"a": "a", "b": "a", "c": "c", "d": "d"}
+    asked = spark.createDataFrame([(["b", "x"],), (["a", "b", "d"],), ([],)], "tokens array<string>")
+    assert [r[0] for r in asked.coalesce(1).select(u.condensed(F.col("tokens"), known)).collect()] == [["a"], ["a", "d"], []]
+    assert u.frequent_tokens(df.limit(0)).count() == 0
