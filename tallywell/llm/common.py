@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -144,12 +144,43 @@ _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def tidy() -> None:
-    """Give memory that a task has freed back to the machine: Python workers stay for later stages."""
+    """Give memory that a task has freed, and its tables of powers, back to the machine: Python workers stay for later stages."""
+    _powers.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     if _trim:
         _trim(0)
 
 
+def released() -> None:
+    """As ``tidy``, without a search for cycles: for functions of one group, of which a task has many."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def tidied(run: Callable) -> Callable:
+    """``run``, a function for mapInArrow, giving its memory back when its task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        tidy()
+
+    return whole
+
+
+ARROW_MB = 16
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of the session hold ``ARROW_MB`` MB at most, so that their memory does not depend on how long
+    texts are. A smaller limit that the session has stays."""
+    jvm = spark.sparkContext._jvm
+    now = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ARROW_LIMIT))
+    if now <= 0 or now > ARROW_MB << 20:
+        spark.conf.set(ARROW_LIMIT, f"{ARROW_MB}m")
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -33,10 +33,12 @@ from tallywell.llm.common import (
     column,
     cuts_of,
     mix,
+    released,
     running_hash,
     settled,
     span_hash,
     stream,
+    tidied,
     unused,
     words,
 )
@@ -135,7 +137,7 @@ def _classes(rows: DataFrame, s: Settings) -> DataFrame:
                 [*(pa.nulls(len(slices), k) for k in kinds[:4]), pa.array(np.arange(len(slices)), kinds[4]),
                  pa.array([x.tobytes() for x in slices], kinds[5])], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def _sketch(classes: DataFrame, s: Settings) -> np.ndarray:
@@ -180,7 +182,7 @@ def _prefixes(rows: DataFrame, sketch: np.ndarray, s: Settings) -> DataFrame:
                      pa.array(typical, pa.float64()), pa.array(bits, pa.list_(pa.int64()))],
                     ["class", "n", "tokens", "mins", "typical", "bits"])
 
-    found = rows.select("text").mapInArrow(run, schema)
+    found = rows.select("text").mapInArrow(tidied(run), schema)
     return found.groupBy("class").agg(*(F.first(c).alias(c) for c in ("n", "tokens", "mins", "typical", "bits")))
 
 
@@ -217,7 +219,7 @@ def _shared_tokens(prefixes: DataFrame, parts: int) -> DataFrame:
             "token": (found["token"] >> U(2)).astype(np.int64), "class": found["class"],
             "layer": (found["token"] & U(3)).astype(np.int32) + 1, "df": df.astype(np.int32)})
 
-    packed = prefixes.select("class", "tokens").mapInArrow(pack, "part int, packed binary")
+    packed = prefixes.select("class", "tokens").mapInArrow(tidied(pack), "part int, packed binary")
     return packed.groupBy("part").applyInPandas(repeated, "token long, class long, layer int, df int")
 
 
@@ -309,6 +311,7 @@ def _frequent_pairs(tokens: DataFrame, prefixes: DataFrame, s: Settings) -> Data
                 up = probe[x[near], y[near]]
                 out.append(np.stack([np.where(up, name[i], name[j]), np.where(up, name[j], name[i]), np.where(up, level[i], level[j])], 1))
         found = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        released()
         return pd.DataFrame({"hub": found[:, 0], "class": found[:, 1], "level": found[:, 2].astype(np.int32)})
 
     return dealt.groupBy("part").applyInPandas(compare, "hub long, class long, level int")
@@ -345,6 +348,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, s: Settings, at_once: int = 25
             both = len(np.intersect1d(a, b, assume_unique=True))
             if 100 * both >= s.percent * (len(a) + len(b) - both):
                 found.append((h, c))
+        del batch, sets, known, hub
+        released()
         return pd.DataFrame(found, columns=["hub", "class"], dtype=np.int64)
 
     return settled(rows.groupBy("part").applyInPandas(compare, "hub long, class long"), "verified")

@@ -29,7 +29,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallywell.llm.common import LOWER, U, buckets, chunks, column, cuts_of, mix, running_hash, settled, span_hash, unused, words
+from tallywell.llm.common import (
+    LOWER,
+    U,
+    buckets,
+    chunks,
+    column,
+    cuts_of,
+    mix,
+    running_hash,
+    settled,
+    span_hash,
+    tidied,
+    unused,
+    words,
+)
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("removed", "general")
@@ -235,7 +249,7 @@ def _found(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [packed[f.name] if f.name in packed else pa.nulls(len(live), kinds.field(f.name).type) for f in schema], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def _dealt(found: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +323,7 @@ def _occurrences(rows: DataFrame, bits: np.ndarray, s: Settings) -> DataFrame:
                         [pa.array(np.full(len(own), named[i].as_py(), np.int64)), pa.array(term[own].view(np.int64)),
                          pa.array(places[low].astype(np.int32)), pa.array(places[high].astype(np.int32))], ["row", "term", "start", "end"])
 
-    return rows.select("row", "text").mapInArrow(run, OCCURS)
+    return rows.select("row", "text").mapInArrow(tidied(run), OCCURS)
 
 
 def find(docs: DataFrame, s: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:

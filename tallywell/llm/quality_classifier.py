@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywell.llm.common import LOWER, U, chunks, column, mix, running_hash, span_hash, words
+from tallywell.llm.common import LOWER, U, chunks, column, mix, released, running_hash, span_hash, tidied, words
 
 SPECIAL = np.zeros(256, np.int64)
 SPECIAL[[c for c in range(33, 127) if not chr(c).isalnum()]] = 1
@@ -144,7 +144,10 @@ def fit(examples: DataFrame, settings: Settings = Settings(), text: str = "text"
         for _ in range(settings.epochs):
             for (place, value), y in zip(known, labels, strict=True):
                 leader.learn(place, value, y)
-        return pd.DataFrame({"shard": [int(key[0])], "w": [np.append(leader.weights(), leader.constant).tobytes()]})
+        weights = np.append(leader.weights(), leader.constant).tobytes()
+        del known, leader, batch
+        released()
+        return pd.DataFrame({"shard": [int(key[0])], "w": [weights]})
 
     order = F.xxhash64(F.col(id) if id else F.lit(0), F.col(text), F.col(label))
     known = examples.where(F.col(label).isNotNull()).select(
@@ -174,7 +177,7 @@ def score(df: DataFrame, weights: np.ndarray, settings: Settings = Settings(), t
                     [*(column(rows, f.name) for f in kept), pa.array(scores, pa.float64())],
                     [*(f.name for f in kept), name])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def sampled(labels: DataFrame, settings: Settings, id: str = "doc_id", label: str = "quality") -> DataFrame:

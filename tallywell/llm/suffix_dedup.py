@@ -23,7 +23,20 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallywell.llm.anchors import runs, window_hashes
-from tallywell.llm.common import U, buckets, chunks, column, cuts_of, mix, running_hash, settled, span_hash, unused
+from tallywell.llm.common import (
+    U,
+    buckets,
+    chunks,
+    column,
+    cuts_of,
+    mix,
+    released,
+    running_hash,
+    settled,
+    span_hash,
+    tidied,
+    unused,
+)
 from tallywell.llm.suffix_array import Shard
 
 
@@ -84,7 +97,7 @@ def _repeated_keys(rows: DataFrame, parts: int, s: Settings) -> DataFrame:
         out = np.concatenate([sure, open_[np.repeat(many > 1, many)]])
         return pd.DataFrame({"row": out["row"].astype(np.int64), "key": out["key"].astype(U).view(np.int64)})
 
-    return rows.mapInArrow(find, "part int, packed binary").groupBy("part").applyInPandas(count, "row long, key long")
+    return rows.mapInArrow(tidied(find), "part int, packed binary").groupBy("part").applyInPandas(count, "row long, key long")
 
 
 def _marked(rows: DataFrame, keys: DataFrame, s: Settings) -> DataFrame:
@@ -152,8 +165,8 @@ def _occurrences(marked: DataFrame, s: Settings, parts: int | None) -> DataFrame
                     [pa.array(part[bounds[:-1]], pa.int32()), pa.array(out, pa.binary())], ["part", "packed"])
 
     if parts is None:
-        return marked.mapInArrow(plain, "row long, start long, key long, same long")
-    return marked.mapInArrow(packed, "part int, packed binary")
+        return marked.mapInArrow(tidied(plain), "row long, start long, key long, same long")
+    return marked.mapInArrow(tidied(packed), "part int, packed binary")
 
 
 def repeated_windows(texts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
@@ -217,6 +230,8 @@ def _shards(packed: DataFrame, s: Settings) -> DataFrame:
                 out.append((key[i], same[i], [0, int(count[i])]))
             elif mark is not None and mark.any():
                 out.append((key[i], same[i], np.flatnonzero(np.diff(mark.astype(np.int8), prepend=0, append=0)).tolist()))
+        del heads, bodies, texts, marks
+        released()
         return pd.DataFrame(out, columns=["key", "same", "ranges"])
 
     return packed.groupBy("part").applyInPandas(solve, "key long, same long, ranges array<int>")
@@ -273,7 +288,7 @@ def _cut(texts: DataFrame, length: int, schema: T.StructType, make: Callable, te
                     out.append(make(row, data, b"".join([*kept, data[at:]]), spans))
                 yield pa.RecordBatch.from_pylist(out, kind)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(tidied(run), schema)
 
 
 def report(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id", text: str = "text") -> DataFrame:

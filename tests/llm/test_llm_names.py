@@ -1,12 +1,13 @@
 """Columns whose names operators use inside, through every operator that keeps columns and every stage."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallywell.llm import anchors, ngram_jaccard, pii, suffix_dedup
-from tallywell.llm.common import buckets, cuts_of
+from tallywell.llm.common import ARROW_LIMIT, BASE, _powers, bounded_batches, buckets, cuts_of, powers, tidied
 
 FOLDER = "/root/testdata/sf0.001"
 CLASHING = ("_row", "_w", "places", "_places", "_base", "_added", "_key", "_bucket", "_n", "row", "base", "salt", "hot", "quality", "score",
@@ -70,3 +71,21 @@ def test_stretches_give_the_same_keys(stretch):
         return [(t, first + i, k) for t, first, n, k in zip(*(x.tolist() for x in found), strict=True) for i in range(n)]
 
     assert keys(anchors.runs(data, offsets, 20, 6, stretch)) == keys(anchors.runs(data, offsets, 20, 6))
+
+
+def test_arrow_batches_are_bounded_and_smaller_limits_stay(spark):
+    before = spark.conf.get(ARROW_LIMIT)
+    try:
+        for limit, want in (("64m", "16m"), ("-1", "16m"), ("2m", "2m")):
+            spark.conf.set(ARROW_LIMIT, limit)
+            bounded_batches(spark)
+            assert spark.conf.get(ARROW_LIMIT) == want
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
+
+
+def test_a_tidied_function_gives_all_batches_and_frees_tables():
+    powers(BASE, 10)
+    batches = [pa.RecordBatch.from_pydict({"x": [i]}) for i in range(3)]
+    assert list(tidied(iter)(iter(batches))) == batches
+    assert not _powers
