@@ -178,7 +178,7 @@ def bounded_batches(spark: SparkSession) -> None:
     texts are. A smaller limit that the session has stays."""
     jvm = spark.sparkContext._jvm
     now = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ARROW_LIMIT))
-    if now <= 0 or now > ARROW_MB << 20:
+    if now > ARROW_MB << 20:
         spark.conf.set(ARROW_LIMIT, f"{ARROW_MB}m")
 
 
