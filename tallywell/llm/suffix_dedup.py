@@ -53,6 +53,7 @@ class Settings:
 
 #: Over how many tasks the rows of a key are dealt while its heat is looked up.
 SALTS = 64
+PLACE = np.dtype([("row", "<i8"), ("start", "<i8"), ("no", "<i4")])
 PAIR = np.dtype([("key", "<u8"), ("row", "<i8"), ("sure", "u1")])
 
 
@@ -111,7 +112,8 @@ def _marked(rows: DataFrame, keys: DataFrame, s: Settings) -> DataFrame:
 
 
 def _occurrences(marked: DataFrame, s: Settings, parts: int | None) -> DataFrame:
-    """The runs with repeated keys: as (row, start, key, same) or, dealt to ``parts``, packed with their bytes."""
+    """The runs with repeated keys: dealt to ``parts`` and packed with their bytes or, without parts, by chunk: (chunk, its
+    distinct stretches, packed places of its runs). ``chunk`` is a hash of what the chunk holds."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         for part, data, offsets in chunks(batch):
@@ -140,9 +142,22 @@ def _occurrences(marked: DataFrame, s: Settings, parts: int | None) -> DataFrame
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, start, _, key, same, _, _ in cut(batch):
+                if not len(key):
+                    continue
+                order = np.lexsort((same, key))
+                key, same = key[order], same[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (same[1:] != same[:-1])
+                at = np.flatnonzero(new)
+                found = np.empty(len(key), PLACE)
+                found["row"], found["start"], found["no"] = row[order], start[order], np.cumsum(new) - 1
+                chunk = mix(mix(found["row"].view(U)) + found["start"].view(U) + mix(key ^ same)).sum().view(np.int64)
+                stretch = pa.StructArray.from_arrays(
+                    [pa.array(np.arange(len(at), dtype=np.int32)), pa.array(key[at].view(np.int64)), pa.array(same[at].view(np.int64))],
+                    ["no", "key", "same"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(start), pa.array(key.view(np.int64)), pa.array(same.view(np.int64))],
-                    ["row", "start", "key", "same"])
+                    [pa.array([chunk], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), stretch),
+                     pa.array([zlib.compress(found.tobytes(), 1)], pa.binary())], ["chunk", "stretches", "packed"])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +180,8 @@ def _occurrences(marked: DataFrame, s: Settings, parts: int | None) -> DataFrame
                     [pa.array(part[bounds[:-1]], pa.int32()), pa.array(out, pa.binary())], ["part", "packed"])
 
     if parts is None:
-        return marked.mapInArrow(tidied(plain), "row long, start long, key long, same long")
+        return marked.mapInArrow(
+            tidied(plain), "chunk long, stretches array<struct<no: int, key: long, same: long>>, packed binary")
     return marked.mapInArrow(tidied(packed), "part int, packed binary")
 
 
@@ -249,6 +265,50 @@ def _spans(starts: list[int], ranges: list, length: int) -> list[tuple[int, int]
     return out
 
 
+def merged(places: np.ndarray, no: np.ndarray, ranges: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the merged spans of repeated windows, from the places of a chunk and what is decided on its
+    stretches ``no``."""
+    bounds, flat = ranges.offsets.to_numpy().astype(np.int64), ranges.values.to_numpy()
+    first, many = np.zeros(places["no"].max(initial=-1) + 1, np.int64), np.zeros(places["no"].max(initial=-1) + 1, np.int64)
+    first[no], many[no] = bounds[:-1], np.diff(bounds) // 2
+    own = many[places["no"]]
+    at = np.repeat(first[places["no"]], own) + 2 * (np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own))
+    row, start = np.repeat(places["row"], own), np.repeat(places["start"], own)
+    low, high = start + flat[at], start + flat[at + 1] - 1 + length
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order], high[order]
+    if not len(row):
+        return row, low, high
+    # Each row gets a stretch of numbers of its own, so that one running maximum serves all.
+    base = np.cumsum(np.append(False, row[1:] != row[:-1])) * (int(high.max()) + 1)
+    reach = np.maximum.accumulate(high + base)
+    cut = np.flatnonzero(np.append(True, (low + base)[1:] > reach[:-1]) | np.append(True, row[1:] != row[:-1]))
+    last = np.append(cut[1:], len(row)) - 1
+    return row[cut], low[cut], (reach - base)[last]
+
+
+def _places(decided: DataFrame, length: int) -> DataFrame:
+    """(row, places) of the rows of each chunk, from (packed, decided)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = column(batch, "decided")
+            for i, packed in enumerate(column(batch, "packed")):
+                own = lists.slice(i, 1).flatten()
+                ranges = pa.concat_arrays([own.field("ranges")])
+                row, low, high = merged(np.frombuffer(zlib.decompress(packed.as_py()), PLACE), own.field("no").to_numpy(), ranges, length)
+                cut = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+                flat = np.stack([np.zeros_like(low), high - low - length + 1], 1).astype(np.int32).ravel()
+                spans = pa.StructArray.from_arrays(
+                    [pa.array(low), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2), pa.int32()), pa.array(flat))],
+                    ["start", "ranges"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row[cut]), pa.ListArray.from_arrays(pa.array(np.append(cut, len(row)), pa.int32()), spans)],
+                    ["row", "places"])
+
+    return decided.mapInArrow(tidied(run), "row long, places array<struct<start: long, ranges: array<int>>>")
+
+
 def _with_row(docs: DataFrame, id: str, text: str, name: str = "_row") -> DataFrame:
     return docs.withColumn(name, F.xxhash64(F.col(id), F.col(text)))
 
@@ -265,8 +325,13 @@ def repeats(docs: DataFrame, settings: Settings = Settings(), id: str = "doc_id"
     keys = settled(_repeated_keys(rows, parts, s), "repeated-keys")
     marked = settled(_marked(rows, keys, s), "marked-texts", "zstd")
     decided = _shards(_occurrences(marked, s, parts), s)
-    found = _occurrences(marked, s, None).join(decided, ["key", "same"])
-    spans = found.groupBy("row").agg(F.collect_set(F.struct("start", "ranges")).alias("places"))
+    # A stretch is looked up once a chunk and not once a text, so a passage of very many texts is joined as few rows.
+    found = settled(_occurrences(marked, s, None), "occurrences")
+    known = found.select("chunk", F.inline("stretches")).join(decided, ["key", "same"])
+    known = known.groupBy("chunk").agg(F.collect_list(F.struct("no", "ranges")).alias("decided"))
+    spans = _places(found.select("chunk", "packed").join(known, "chunk").select("packed", "decided"), s.length)
+    # Equal rows have equal places.
+    spans = spans.groupBy("row").agg(F.first("places").alias("places"))
     return marked.select("row", "text"), settled(spans, "spans")
 
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallywell.llm import suffix_dedup
@@ -49,6 +50,28 @@ def test_repeats_in_one_text(spark):
     assert got == {1: (460, 2), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (201, 1), 6: (202, 1)}
 
 
+def test_a_passage_of_all_texts_is_joined_once_a_chunk(spark):
+    rnd = random.Random(6)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage, s = text(300), suffix_dedup.Settings(hot=50)
+    rows = [(i, text(rnd.randrange(5, 90)) + passage + text(rnd.randrange(5, 90))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    keyed = suffix_dedup._with_row(docs, "doc_id", "text", "row").select("row", "text")
+    marked = suffix_dedup._marked(keyed, suffix_dedup._repeated_keys(keyed, 2, s), s)
+    found = suffix_dedup._occurrences(marked, s, None).collect()
+    often = Counter((x.key, x.same) for r in found for x in r.stretches)
+    assert max(often.values()) <= len(found) < 20
+    got = sorted((tuple(r) for r in suffix_dedup.report(docs, s).collect()), key=repr)
+    assert got == [r[:5] for r in brute(rows, 200)]
+
+
+def test_spans_are_merged_by_row():
+    places = np.array([(7, 0, 0), (7, 10, 1), (5, 3, 0), (7, 400, 0), (5, 0, 2), (9, 0, 3)], suffix_dedup.PLACE)
+    ranges = pa.array([[0, 1, 4, 6], [0, 2], []], pa.list_(pa.int32()))
+    got = suffix_dedup.merged(places, np.array([0, 1, 3]), ranges, 5)
+    assert [tuple(x) for x in np.stack(got, 1).tolist()] == [(5, 3, 13), (7, 0, 16), (7, 400, 410)]
+
+
 def test_empty_table(nothing):
     assert suffix_dedup.report(nothing).count() == 0 and suffix_dedup.deduplicate(nothing).count() == 0
 
