@@ -7,8 +7,10 @@ each piece looks its rank up in the plan.
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,12 +25,20 @@ from tallywell.llm.common import chunks, column, settled, tidy, unused
 from tallywell.llm.packing_plan import plan
 from tallywell.llm.pieces import model_path
 
-#: Words whose ids a task remembers; about 60 MB.
-REMEMBERED = 200_000
+#: Words, and their cores, whose ids a task remembers; about 80 MB.
+REMEMBERED, CORES = 200_000, 300_000
+#: A word of marks, letters and marks: letters that stay one letter in lower case and under normalisation.
+parted = re.compile(rb"([!-&(-/:-@\[-`{-~]*)((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)").fullmatch
+#: The pattern that parts words where letters meet marks, but for a contraction at the start of marks.
+PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit bytes. White space parts what the tokenizer joins, so words are remembered."""
+    """Ids of a text as little-endian 32-bit bytes. White space parts what the tokenizer joins, so words are remembered.
+
+    A model that parts letters from marks (``PARTED``) and closes its last token of a run with a suffix gets the letters
+    of many words as one text, and words that differ in the marks around them share the ids of their letters.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,6 +47,50 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.special = b"<|"
         self.seen: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.closing: np.ndarray | None = None
+        if suffix and PARTED in _patterns(json.loads(self.library.pre_tokenizer.__getstate__())):
+            vocabulary = self.library.get_vocab()
+            self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.closing[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        found = self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def _runs(self, words: list[bytes], each: int = 512) -> list[bytes]:
+        """Ids of runs of letters, ``each`` of them as one text whose closing tokens part them again."""
+        out: list[bytes] = []
+        groups = [words[i: i + each] for i in range(0, len(words), each)]
+        for group, found in zip(groups, self.library.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False),
+                                strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            out += ([raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                    if len(ends) == len(group) and ends[-1] == len(raw) else self._whole(group))
+        return out
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Remember the ids of new words."""
+        if self.closing is None:
+            self.seen.update(zip(new, self._whole(new), strict=True))
+            return
+        seen, cores = self.seen, self.cores
+        found = [None if self.special in w or (m := parted(w)) is None else m.groups() for w in new]
+        odd = [w for w, m in zip(new, found, strict=True) if m is None]
+        seen.update(zip(odd, self._whole(odd), strict=True))
+        words = [w for w, m in zip(new, found, strict=True) if m is not None]
+        heads, runs, tails = zip(*[m for m in found if m is not None], strict=True) if words else ((), (), ())
+        del found
+        fresh = list(set(runs).difference(cores))
+        cores.update(zip(fresh, self._runs(fresh), strict=True))
+        marks = list({*heads, *tails})
+        around = dict(zip(marks, self._whole(marks), strict=True))
+        seen.update(zip(words, [around[a] + cores[b] + around[c] for a, b, c in zip(heads, runs, tails, strict=True)], strict=True))
+        if len(cores) > CORES:
+            cores.clear()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         # A-Z fold before the tokenizer does it; a text that may hold a special token, which is matched as written, stays.
@@ -44,14 +98,21 @@ class WordIds:
         seen = self.seen
         new = list(set().union(*split).difference(seen))
         if new:
-            found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            seen.update((w, np.array(f.ids, "<u4").tobytes()) for w, f in zip(new, found, strict=True))
+            self._learn(new)
         out = [b"".join([seen[w] for w in words]) for words in split]
         if len(seen) > REMEMBERED:
             seen.clear()
         return out
 
 
+def _patterns(node: object) -> list[str]:
+    """All patterns in the description of a pre-tokenizer."""
+    if isinstance(node, dict):
+        own = [node["Regex"]] if isinstance(node.get("Regex"), str) else []
+        return own + [p for x in node.values() for p in _patterns(x)]
+    return [p for x in node for p in _patterns(x)] if isinstance(node, list) else []
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> WordIds:
     return WordIds(path)
@@ -88,6 +149,7 @@ def tokenised(docs: DataFrame, model: str = "word_bpe_49k.json", capacity: int =
                     [column(rows, id).take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()),
                      pa.array([p * capacity for p in piece], pa.int64()), pa.array(length, pa.int64()), pa.array(code, pa.int64())],
                     schema.names)
+        # Cores stay for the next task of the worker.
         words.seen.clear()
         tidy()
 

@@ -64,5 +64,32 @@ def test_pieces_and_sequences(docs, rows, capacity, bucket):
         assert at <= capacity
 
 
+ODD = ["'street", "('street", "(street", "don't", "'s", "x'", "''x''", "<|endoftext|>", "a<|endoftext|>", "<|b", "c<|", "naïve,", "ÉTÉ!", "×x÷",
+       "e\u0301t.", "\u0301a", "a\u0338", "İx", "ﬁn", "“quoted”", "42nd", "x42.", "...", "a.b", "[[a]]", "_x_", "a\u00a0b", "日本.", "\u1100\u1161", "ªº"]
+
+
+def test_words_as_the_library_parts_them():
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    assert words.closing is not None
+    texts = [*ODD, " ".join(ODD), " ".join(a + b for a in ODD for b in ODD), " ".join(a + b for a in "!'(<|-" for b in ODD)]
+    want = [np.array(words.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert words.encode([t.encode() for t in texts]) == want
+    assert words.encode([t.encode() for t in texts]) == want
+
+
+def test_words_that_differ_in_marks_are_encoded_once():
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    asked = []
+
+    class Library:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    library, words.library = words.library, Library()
+    words.encode([b"alpha beta (alpha) alpha, beta. (beta!", b"gamma"])
+    assert sum(t.split().count("alpha") for t in asked) == 1 and not any("alpha," in t for t in asked)
+
+
 def test_empty_table(nothing):
     assert packing.pack(nothing).count() == 0
