@@ -21,7 +21,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywell.llm.common import LOWER, U, chunks, column, mix, running_hash, settled, span_hash
+from tallywell.llm.common import (
+    LOWER,
+    U,
+    bounded_batches,
+    chunks,
+    column,
+    mix,
+    released,
+    running_hash,
+    settled,
+    span_hash,
+    tidied,
+)
 from tallywell.llm.texts import bit_filter
 from tallywell.operators.ranked import top_per_group
 
@@ -30,6 +42,8 @@ GAP[[9, 32]] = True
 END = np.zeros(256, bool)
 END[[*range(10, 14), *b".,;:!?"]] = True
 PLACE_BITS = 16
+#: Bytes of text whose words are hashed at once; their arrays take about 50 times as much.
+CHUNK = 512 << 10
 
 
 @dataclass(frozen=True)
@@ -143,12 +157,12 @@ def _words(rows: DataFrame, s: Settings) -> DataFrame:
 
         def given() -> pa.RecordBatch:
             keys, counts = found.take()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([names[k] for k in keys[:, 0].tolist()], pa.string()), pa.array(keys[:, 1].view(np.int64)), pa.array(counts)],
-                ["lang", "word", "n"])
+            langs, at = np.unique(keys[:, 0], return_inverse=True)
+            own = pa.array([names[k] for k in langs.tolist()], pa.string()).take(pa.array(at))
+            return pa.RecordBatch.from_arrays([own, pa.array(keys[:, 1].view(np.int64)), pa.array(counts)], ["lang", "word", "n"])
 
         for batch in batches:
-            for part, data, offsets in chunks(batch):
+            for part, data, offsets in chunks(batch, most=CHUNK):
                 own, word, _, _, _ = word_hashes(part, data, offsets)
                 every = pc.unique(column(part, "lang"))
                 names.update(zip(lang_key(every).tolist(), every.to_pylist(), strict=True))
@@ -164,7 +178,7 @@ def _words(rows: DataFrame, s: Settings) -> DataFrame:
             [pa.array([names[k] for k in totals], pa.string()), pa.nulls(len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())],
             ["lang", "word", "n"])
 
-    return rows.mapInArrow(run, "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidied(run), "lang string, word long, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _pairs(rows: DataFrame, words: np.ndarray, s: Settings) -> DataFrame:
@@ -179,7 +193,7 @@ def _pairs(rows: DataFrame, words: np.ndarray, s: Settings) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys[:, 0].view(np.int64)), pa.array(counts)], ["pair", "n"])
 
         for batch in batches:
-            for part, data, offsets in chunks(batch):
+            for part, data, offsets in chunks(batch, most=CHUNK):
                 _, word, piece, _, _ = word_hashes(part, data, offsets)
                 pair, whole = pair_hashes(word, piece)
                 often = _in(shared.value, word)
@@ -191,7 +205,7 @@ def _pairs(rows: DataFrame, words: np.ndarray, s: Settings) -> DataFrame:
         if found.size:
             yield given()
 
-    return rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidied(run), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def _places(counts: DataFrame, name: str) -> np.ndarray:
@@ -257,7 +271,7 @@ def _suffixes(rows: DataFrame, pairs: np.ndarray, plan: tuple[np.ndarray, np.nda
                 ["part", "packed"])
 
         for batch in batches:
-            for part, data, offsets in chunks(batch):
+            for part, data, offsets in chunks(batch, most=CHUNK):
                 _, word, piece, _, _ = word_hashes(part, data, offsets)
                 pair, whole = pair_hashes(word, piece)
                 whole &= _in(held, pair)
@@ -274,7 +288,7 @@ def _suffixes(rows: DataFrame, pairs: np.ndarray, plan: tuple[np.ndarray, np.nda
         if found.size:
             yield given()
 
-    return rows.mapInArrow(run, "part int, packed binary")
+    return rows.mapInArrow(tidied(run), "part int, packed binary")
 
 
 def nodes(keys: np.ndarray, depth: np.ndarray, counts: np.ndarray, least: int) -> list[tuple[list[int], int]]:
@@ -303,7 +317,10 @@ def _phrases(suffixes: DataFrame, s: Settings) -> DataFrame:
         leaves = np.frombuffer(b"".join(rows["packed"]), entry)
         leaves = leaves[np.lexsort(leaves["words"].T[::-1])]
         found = nodes(leaves["words"], leaves["depth"], leaves["n"], s.least)
-        return pd.DataFrame({"phrase": [k for k, _ in found], "n": [n for _, n in found]}).astype({"n": np.int64})
+        out = pd.DataFrame({"phrase": [k for k, _ in found], "n": [n for _, n in found]}).astype({"n": np.int64})
+        del leaves, found
+        released()
+        return out
 
     # The language is part of each word's hash.
     found = suffixes.groupBy("part").applyInPandas(tree, "phrase array<long>, n long")
@@ -317,7 +334,7 @@ def _spelled(rows: DataFrame, words: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.zeros(0, U)
         for batch in batches:
-            for part, data, offsets in chunks(batch):
+            for part, data, offsets in chunks(batch, most=CHUNK):
                 own, word, _, starts, ends = word_hashes(part, data, offsets)
                 fresh, first = np.unique(word, return_index=True)
                 new = _in(shared.value, fresh)
@@ -330,7 +347,7 @@ def _spelled(rows: DataFrame, words: np.ndarray) -> DataFrame:
                      pa.array([low[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], pa.string())],
                     ["word", "lang", "text"])
 
-    return rows.mapInArrow(run, "word long, lang string, text string").groupBy("word").agg(
+    return rows.mapInArrow(tidied(run), "word long, lang string, text string").groupBy("word").agg(
         F.first("lang").alias("lang"), F.first("text").alias("text"))
 
 
@@ -372,6 +389,7 @@ def mine(docs: DataFrame, settings: Settings = Settings(), text: str = "text", l
     Equal scores and counts are ranked by the bytes of the phrase.
     """
     s, rows = settings, _rows(docs, text, lang)
+    bounded_batches(docs.sparkSession)
     counted = settled(_words(rows, s), "words")
     often = counted.where(F.col("word").isNotNull() & (F.col("n") >= s.least))
     totals = counted.where("word IS NULL").select("lang", F.col("n").alias("total"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tallywell.llm import collocations as co
-from tallywell.llm.common import U
+from tallywell.llm.common import ARROW_LIMIT, ARROW_MB, U
 
 SCHEMA = "text string, lang string, word string, n long, phrase string, rank string, score string, part string"
 EXTRA = ("a", 7, "b", "c", "d", "e")
@@ -111,3 +111,13 @@ def test_nodes_are_sums_of_leaves():
     keys = np.array([[1, 2, 0], [1, 2, 3], [1, 2, 4], [2, 2, 0]], U)
     found = co.nodes(keys, np.array([1, 1, 1, 1]), np.array([5, 6, 7, 8]), 7)
     assert found == [([1, 2], 18), ([2, 2], 8), ([1, 2, 4], 7)]
+
+
+def test_batches_of_the_session_are_bounded(spark, docs):
+    before = spark.conf.get(ARROW_LIMIT)
+    spark.conf.set(ARROW_LIMIT, "64m")
+    try:
+        co.mine(docs.selectExpr("text", "'x' AS lang"), co.Settings(least=3))
+        assert spark.conf.get(ARROW_LIMIT) == f"{ARROW_MB}m"
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
