@@ -18,15 +18,20 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.functions.memory import bounded_batches, released
 from tallywell.functions.text import LETTERS, SENTENCE_END
 from tallywell.schema import CATEGORIES
 
 #: Bound of what is sent: characters of all terms together.
 MAX_CHARACTERS = 2_000_000
+#: Bytes of text that a worker searches before it gives back what it has found.
+SLICE_BYTES = 512 << 10
 FOUND = "array<struct<no: int, list: int, label: int, score: bigint>>"
 #: Fixed value: number of the whole comment among its sentences.
 WHOLE = -1
@@ -143,16 +148,29 @@ class Finder:
         return out
 
 
+def slices(batch: pa.ListArray, most: int = SLICE_BYTES) -> Iterator[pa.ListArray]:
+    """Runs of comments with about ``most`` bytes of text; a comment is never cut."""
+    sizes = pc.fill_null(pc.binary_length(batch.values), 0).to_numpy(zero_copy_only=False)
+    at = np.append(0, np.cumsum(sizes, dtype=np.int64))[batch.offsets.to_numpy()]
+    low = 0
+    while low < len(batch):
+        high = int(np.searchsorted(at, at[low] + most, "right")) - 1
+        high = min(max(high, low + 1), len(batch))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def finder(spark: SparkSession, lists: Sequence[TermList]):
     """A column function from the sentences of a comment, in lower case, to what the lists find in them."""
     if sum(x.characters for x in lists) > MAX_CHARACTERS:
         raise ValueError(f"more than {MAX_CHARACTERS} characters: use operators.long_lists")
     shared = spark.sparkContext.broadcast(tuple(lists))
+    bounded_batches(spark)
 
     @F.arrow_udf(FOUND)
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = Finder(shared.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             offsets, flat, cuts = [0], [], batch.to_pylist()
             for sentences in cuts:
                 flat += tables.found(sentences) if sentences else []
@@ -163,6 +181,7 @@ def finder(spark: SparkSession, lists: Sequence[TermList]):
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["no", "list", "label", "score"])
             missing = pa.array([s is None for s in cuts], pa.bool_())
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), fields, mask=missing)
+        released()
 
     return search
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import gc
 import math
 from collections.abc import Callable, Iterator
@@ -13,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywell.functions.memory import ARROW_LIMIT, ARROW_MB, bounded_batches, released  # noqa: F401
 from tallywell.sources.scratch import scratch_path
 
 CHUNK_BYTES = 2 << 20
@@ -140,23 +140,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-
-
 def tidy() -> None:
     """Give memory that a task has freed, and its tables of powers, back to the machine: Python workers stay for later stages."""
     _powers.clear()
     gc.collect()
-    pa.default_memory_pool().release_unused()
-    if _trim:
-        _trim(0)
-
-
-def released() -> None:
-    """As ``tidy``, without a search for cycles: for functions of one group, of which a task has many."""
-    pa.default_memory_pool().release_unused()
-    if _trim:
-        _trim(0)
+    released()
 
 
 def tidied(run: Callable) -> Callable:
@@ -169,18 +157,5 @@ def tidied(run: Callable) -> Callable:
     return whole
 
 
-ARROW_MB = 16
-ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches of the session hold ``ARROW_MB`` MB at most, so that their memory does not depend on how long
-    texts are. A smaller limit that the session has stays."""
-    jvm = spark.sparkContext._jvm
-    now = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ARROW_LIMIT))
-    if now > ARROW_MB << 20:
-        spark.conf.set(ARROW_LIMIT, f"{ARROW_MB}m")
-
-
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -4,11 +4,13 @@ import bisect
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallywell.functions.lexicon import Lexicon
-from tallywell.functions.search import Finder, TermList, label_scores
+from tallywell.functions.memory import ARROW_LIMIT, ARROW_MB
+from tallywell.functions.search import SLICE_BYTES, Finder, TermList, label_scores, slices
 from tallywell.functions.text import LETTERS
 from tallywell.operators import labelling, long_lists, ranges
 from tallywell.operators.ranked import top_per_group
@@ -128,3 +130,28 @@ def test_a_hot_group_is_cut_in_parts_for_a_large_k(spark):
     df = spark.range(100).select((F.col("id") % 2).alias("g"), "id")
     plan = top_per_group(df, ["g"], [F.asc("id")], 2000)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("+- Window") + plan.count(" Window [") >= 2 and "_part" in plan
+
+
+def test_slices_hold_little_text_and_all_comments():
+    rows = [["aé", None, "b"], None, [], ["x" * 40], ["y"] * 30, [None], ["z"]] * 3
+    batch = pa.array(rows, pa.list_(pa.string()))
+    parts = list(slices(batch, 10))
+    assert [x for p in parts for x in p.to_pylist()] == rows
+    for p in parts:
+        assert len(p) == 1 or sum(len(s.encode()) for x in p.to_pylist() for s in x or [] if s) <= 10
+    assert not list(slices(batch.slice(0, 0)))
+
+
+def test_search_of_more_text_than_a_slice(spark):
+    before = spark.conf.get(ARROW_LIMIT)
+    try:
+        spark.conf.set(ARROW_LIMIT, "64m")
+        long = "the " + "word " * (SLICE_BYTES // 40)
+        rows = [(i, f"Of {i}. none. {long}of the. and" if i % 7 else None) for i in range(40)]
+        df = spark.createDataFrame(rows, "id long, free_comment string").coalesce(1)
+        got = labelling.extract(df, Lexicon.of([("of", "Aroma", 2), ("and", None, 1)]), "found")
+        assert spark.conf.get(ARROW_LIMIT) == f"{ARROW_MB}m"
+        got = {r.id: r.found for r in got.select("id", "found").collect()}
+        assert got == {i: [f"Of {i}", f"{long}of the", "and"] if i % 7 else None for i in range(40)}
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
