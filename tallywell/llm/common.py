@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywell.functions.memory import ARROW_LIMIT, ARROW_MB, bounded_batches, released  # noqa: F401
-from tallywell.sources.scratch import scratch_path
+from tallywell.sources.scratch import settled  # noqa: F401
 
 CHUNK_BYTES = 2 << 20
 BLANK = np.zeros(256, bool)
@@ -27,13 +27,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def settled(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back, which cuts the lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def buckets(df: DataFrame, mb: float = 8.0, text: str | None = None) -> int:
     """How many parts of about ``mb`` MB ``df`` has: of the bytes of its column ``text``, which are counted, or of the
     files of a table just written (``settled``). There is no most."""

@@ -16,7 +16,7 @@ from tallywell.plans.adapters import (
 )
 from tallywell.schema import SURVEY_COMMENT, Rule
 from tallywell.sources import dictionary, survey
-from tallywell.sources.scratch import scratch_path
+from tallywell.sources.scratch import scratch_path, settled
 from tallywell.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -469,7 +469,8 @@ def b14_co_occurrence(spark, folder):
 @query
 def b14_co_occurrence_phrases(spark, folder):
     """Scene phrases named together in at least two documents."""
-    df = labelling.extract(comments(spark, folder), SCENE, "scene")
+    # Written once, as the branches that count pairs would each search the comments again.
+    df = settled(labelling.extract(comments(spark, folder), SCENE, "scene").select("scene"), "scene-phrases")
     return rounded(pairs.co_occurrence(df, "scene", min_n=2), "support", "confidence", "lift")
 
 

@@ -31,3 +31,8 @@ def test_entry(spark):
 def test_query(spark, connection, name):
     df = contract.queries()[name](spark, FOLDER)
     assert difference(df, connection, contract.oracle_sql()[name]) is None
+
+
+def test_pairs_of_phrases_search_the_comments_once(spark):
+    df = contract.queries()["b14_co_occurrence_phrases"](spark, FOLDER)
+    assert "ArrowEvalPython" not in df._jdf.queryExecution().executedPlan().toString()
