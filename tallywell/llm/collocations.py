@@ -317,7 +317,8 @@ def _phrases(suffixes: DataFrame, s: Settings) -> DataFrame:
         leaves = np.frombuffer(b"".join(rows["packed"]), entry)
         leaves = leaves[np.lexsort(leaves["words"].T[::-1])]
         found = nodes(leaves["words"], leaves["depth"], leaves["n"], s.least)
-        out = pd.DataFrame({"phrase": [k for k, _ in found], "n": [n for _, n in found]}).astype({"n": np.int64})
+        # A group may hold nothing but rare phrases: without rows, pandas takes a list for numbers, which no array can be made of.
+        out = pd.DataFrame({"phrase": pd.Series([k for k, _ in found], dtype=object), "n": [n for _, n in found]}).astype({"n": np.int64})
         del leaves, found
         released()
         return out
@@ -351,6 +352,12 @@ def _spelled(rows: DataFrame, words: np.ndarray) -> DataFrame:
         F.first("lang").alias("lang"), F.first("text").alias("text"))
 
 
+def _merged(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """The join by order. Both sides grow with the phrases, and Spark takes the rows of an exploded table for as few
+    bytes as its file has, so that without a hint it sends millions of them to the driver and to all tasks."""
+    return left.hint("merge").join(right, on, how)
+
+
 def _exact(c: str) -> Column:
     return F.col(c).cast("decimal(18,0)")
 
@@ -361,8 +368,8 @@ def _scored(phrases: DataFrame, words: DataFrame, totals: DataFrame, s: Settings
     cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("phrase") - 1)))
     cuts = cuts.select("phrase", F.col("n").alias("a"), "k", F.slice("phrase", F.lit(1), F.col("k")).alias("_l"),
                        F.slice("phrase", F.col("k") + 1, F.size("phrase") - F.col("k")).alias("_r"))
-    cuts = cuts.join(parts.select(F.col("phrase").alias("_l"), F.col("n").alias("l")), "_l")
-    cuts = cuts.join(parts.select(F.col("phrase").alias("_r"), F.col("n").alias("r")), "_r")
+    cuts = _merged(cuts, parts.select(F.col("phrase").alias("_l"), F.col("n").alias("l")), "_l")
+    cuts = _merged(cuts, parts.select(F.col("phrase").alias("_r"), F.col("n").alias("r")), "_r")
     cuts = cuts.withColumn("word", F.col("phrase")[0]).join(words.select("word", "lang"), "word").join(totals, "lang")
     scaled = cuts.select("*", (F.lit(1000).cast("decimal(4,0)") * (_exact("a") * _exact("total")).cast("decimal(34,0)")).cast("decimal(38,0)").alias("_up"),
                          (_exact("l") * _exact("r")).alias("_down"))
@@ -378,7 +385,7 @@ def _held(phrases: DataFrame, s: Settings) -> DataFrame:
         F.sequence(F.lit(1), size - m + 1), lambda i: F.slice("phrase", i, m))))
     longer = phrases.where(size > 2).select(F.col("n").alias("longer"), F.explode(F.array_distinct(inner)).alias("phrase"))
     most = longer.groupBy("phrase").agg(F.max("longer").alias("longer"))
-    return phrases.join(most, "phrase").where(100 * F.col("longer") >= s.percent * F.col("n")).select("phrase")
+    return _merged(phrases, most, "phrase").where(100 * F.col("longer") >= s.percent * F.col("n")).select("phrase")
 
 
 def mine(docs: DataFrame, settings: Settings = Settings(), text: str = "text", lang: str = "lang") -> DataFrame:
@@ -399,13 +406,13 @@ def mine(docs: DataFrame, settings: Settings = Settings(), text: str = "text", l
     plan = vertical(_places(often, "word"), _places(pairs, "pair"), s.budget)
     suffixes = _suffixes(rows, bit_filter(pairs, "pair", hashed=True), plan, s)
     phrases = settled(_phrases(suffixes, s), "phrases")
-    best = _scored(phrases, often, totals, s).join(_held(phrases, s), "phrase", "left_anti")
+    best = _merged(_scored(phrases, often, totals, s), _held(phrases, s), "phrase", "left_anti")
     best = settled(best, "scored")
     used = best.select(F.explode("phrase").alias("word")).distinct()
     spelled = _spelled(rows, bit_filter(used, "word", hashed=True)).select("word", "text")
-    letters = best.select("phrase", F.posexplode("phrase").alias("i", "word")).join(spelled, "word")
+    letters = _merged(best.select("phrase", F.posexplode("phrase").alias("i", "word")), spelled, "word")
     named = letters.groupBy("phrase").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]), " ").alias("name"))
-    table = best.join(named, "phrase").select("lang", F.col("name").alias("phrase"), "a", "l", "r", "n", "score")
+    table = _merged(best, named, "phrase").select("lang", F.col("name").alias("phrase"), "a", "l", "r", "n", "score")
     return top_per_group(settled(table, "collocations"), ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], s.first).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")

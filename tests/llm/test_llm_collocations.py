@@ -113,6 +113,34 @@ def test_nodes_are_sums_of_leaves():
     assert found == [([1, 2], 18), ([2, 2], 8), ([1, 2, 4], 7)]
 
 
+def test_groups_of_rare_phrases_only(spark):
+    """The filter of pairs lets some rare ones pass, and a group may have got no others."""
+    s = co.Settings(longest=3, least=100)
+    rows = []
+    for part, own in enumerate([[((1, 2, 0), 99, 1)], [((3, 4, 0), 60, 1), ((3, 4, 5), 50, 1)], [((6, 7, 8), 99, 1)]]):
+        rows.append((part, bytearray(np.array(own, co.suffix_type(s)).tobytes())))
+    found = co._phrases(spark.createDataFrame(rows, "part int, packed binary"), s).collect()
+    assert [(r.phrase, r.n) for r in found] == [([3, 4], 110)]
+    assert co._phrases(spark.createDataFrame(rows[:1], "part int, packed binary"), s).collect() == []
+
+
+def test_tables_of_phrases_are_not_broadcast(spark, monkeypatch):
+    """Only words and languages may be; the default threshold lets Spark choose."""
+    plans, settled = {}, co.settled
+
+    def noted(df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return settled(df, name, *more)
+
+    monkeypatch.setattr(co, "settled", noted)
+    s, rows = co.Settings(least=3, first=1500), made(30)
+    assert got(spark, rows, s) == plain(rows, s)
+    assert "SortMergeJoin" in plans["collocations"] and "Broadcast" not in plans["collocations"]
+    keys = set(re.findall(r"(?:BroadcastHash|SortMerge)Join \[(\w+)#", plans["scored"]))
+    assert keys == {"_l", "_r", "phrase", "word", "lang"}
+    assert not set(re.findall(r"BroadcastHashJoin \[(\w+)#", plans["scored"])) - {"word", "lang"}
+
+
 def test_batches_of_the_session_are_bounded(spark, docs):
     before = spark.conf.get(ARROW_LIMIT)
     spark.conf.set(ARROW_LIMIT, "64m")
